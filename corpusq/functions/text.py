@@ -13,11 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that end a line, and those that are blank without ending one.
-LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
+LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 INLINE_BLANKS = (
-    "\t \x1f\xa0 "
-    "           "
-    "  　"
+    "\t \x1f\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u202f\u205f\u3000"
 )
 BLANKS = LINE_ENDS + INLINE_BLANKS
 

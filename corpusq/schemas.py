@@ -57,9 +57,9 @@ SCORED_FIELDS = [
 ]
 
 
-def raw_schema(extras: dict[str, str] | None = None) -> T.StructType:
+def raw_schema(extras: dict[str, T.DataType] | None = None) -> T.StructType:
     """Raw layer of one source: the common fields, its extras, the directory keys."""
-    extra_fields = [T.StructField(n, T._parse_datatype_string(t)) for n, t in (extras or {}).items()]
+    extra_fields = [T.StructField(name, kind) for name, kind in (extras or {}).items()]
     return T.StructType(RAW_FIELDS + extra_fields + RAW_PARTITION_FIELDS)
 
 
