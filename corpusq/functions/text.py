@@ -59,9 +59,12 @@ def length_without_line_ends(text: Column) -> Column:
     )
 
 
-def line_count(text: Column) -> Column:
-    """Number of lines; a closing line end opens no further line, CR LF ends one."""
-    ends = F.length(text) - length_without_line_ends(text)
+def line_count(text: Column, unended: Column | None = None) -> Column:
+    """Number of lines; a closing line end opens no further line, CR LF ends one.
+
+    ``unended`` may pass in ``length_without_line_ends`` where it is already at hand.
+    """
+    ends = F.length(text) - (length_without_line_ends(text) if unended is None else unended)
     pairs = ((F.length(text) - F.length(_without(text, "\r\n"))) / 2).cast("int")
     tail_open = (F.length(text) > 0) & ~F.substring(text, -1, 1).isin(*LINE_ENDS)
     return (ends - pairs + tail_open.cast("int")).cast("int")

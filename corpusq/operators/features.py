@@ -9,6 +9,7 @@ from corpusq.config import Settings
 from corpusq.functions import text as tx
 from corpusq.functions.structure import python_structure
 
+TEXT_COLUMNS = ["num_lines", "avg_line_length", "alphanum_fraction", "comment_ratio"]
 STRUCTURE_COLUMNS = ["is_parseable", "num_functions", "num_classes", "has_docstring", "parse_error"]
 
 
@@ -18,17 +19,19 @@ def add_text_features(df: DataFrame, content_col: str = "content") -> DataFrame:
     Columns of the same name that came with the source are replaced.
     """
     c = F.col(content_col)
-    # The line count feeds two ratios. It gets a projection of its own, which the
-    # optimiser keeps apart so that it is computed once per row.
-    counted = df.withColumn("num_lines", tx.line_count(c))
-    lines = tx.at_least_one(F.col("num_lines"))
-    return counted.withColumns(
-        {
-            "avg_line_length": tx.length_without_line_ends(c) / lines,
-            "alphanum_fraction": tx.alphanumeric_fraction(c),
-            "comment_ratio": tx.comment_line_count(c) / lines,
-        }
+    counted = (
+        df.drop(*TEXT_COLUMNS)
+        .withColumn("_unended", tx.length_without_line_ends(c))
+        .withColumn("_lines", tx.line_count(c, F.col("_unended")))
     )
+    lines = tx.at_least_one(F.col("_lines"))
+    # A one-row stack rather than a projection: a filter on a measure would be
+    # pushed below a projection, and each text pass would run twice per row.
+    measures = F.stack(
+        F.lit(1), F.col("_lines"), F.col("_unended") / lines, tx.alphanumeric_fraction(c),
+        tx.comment_line_count(c) / lines,
+    ).alias(*TEXT_COLUMNS)
+    return counted.select("*", measures).drop("_unended", "_lines")
 
 
 def passes_cutoffs(settings: Settings = Settings()) -> Column:
