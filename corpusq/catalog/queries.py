@@ -106,8 +106,14 @@ def record_replies(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "processed")
+    layers.write_cleaned(cleaned(spark, sf), path)
+    return layers.read_cleaned(spark, path)
+
+
 def scored(spark: SparkSession, sf: str, judged: bool = True) -> DataFrame:
-    rows = cleaned(spark, sf)
+    rows = stored_cleaned(spark, sf)
     return stages.score_rows(rows, Settings(), record_replies(spark, sf) if judged else None, RUN_TS)
 
 
@@ -295,9 +301,7 @@ SCORED = ["id", "source", "language", "content_hash", "num_lines", "syntactic_sc
 
 
 def run_transforms(spark: SparkSession, sf: str) -> DataFrame:
-    path = fresh_path(spark, "processed")
-    layers.write_cleaned(cleaned(spark, sf), path, balance=True)
-    return layers.read_cleaned(spark, path).select(*CLEANED)
+    return stored_cleaned(spark, sf).select(*CLEANED)
 
 
 def transforms_near(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,20 +16,38 @@ from pyspark.sql import functions as F
 from corpusq.schemas import STRUCTURE
 
 
+# The fields of a statement that hold further statements.
+_BLOCKS = ("body", "orelse", "finalbody", "handlers", "cases")
+
+
+def _definitions(tree: ast.Module) -> tuple[int, int]:
+    """Functions and classes at any depth; only statements are visited, as none hides elsewhere."""
+    functions = classes = 0
+    pending = list(tree.body)
+    while pending:
+        node = pending.pop()
+        kind = type(node)
+        if kind is ast.FunctionDef:  # an async function is a kind of its own
+            functions += 1
+        elif kind is ast.ClassDef:
+            classes += 1
+        for block in _BLOCKS:
+            pending.extend(getattr(node, block, ()))
+    return functions, classes
+
+
 def describe(code: str) -> dict:
     """Parse one text; any failure, also of the parser's own limits, is a result."""
     try:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            tree = ast.parse(code)
-        kinds = [type(node) for node in ast.walk(tree)]
+        tree = ast.parse(code)
+        functions, classes = _definitions(tree)
         documented = ast.get_docstring(tree, clean=False) is not None
     except Exception as failure:  # not only SyntaxError: MemoryError and RecursionError too
         error = str(failure) or type(failure).__name__
         return dict(is_parseable=False, num_functions=0, num_classes=0, has_docstring=False,
                     parse_error=error.encode("utf-8", "replace").decode("utf-8"))
-    return dict(is_parseable=True, num_functions=kinds.count(ast.FunctionDef),
-                num_classes=kinds.count(ast.ClassDef), has_docstring=documented, parse_error=None)
+    return dict(is_parseable=True, num_functions=functions, num_classes=classes,
+                has_docstring=documented, parse_error=None)
 
 
 _ARROW_STRUCT = pa.struct(
@@ -46,6 +64,6 @@ _ARROW_STRUCT = pa.struct(
 @F.arrow_udf(STRUCTURE)
 def python_structure(code: pa.Array) -> pa.Array:
     # Null in, null out: rows of other languages arrive as null and cost nothing.
-    return pa.array(
-        [None if not c.is_valid else describe(c.as_py()) for c in code], type=_ARROW_STRUCT
-    )
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return pa.array([c if c is None else describe(c) for c in code.to_pylist()], type=_ARROW_STRUCT)

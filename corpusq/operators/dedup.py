@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from corpusq.config import Settings
 from corpusq.functions import minhash
 from corpusq.functions import text as tx
-from corpusq.session import spread, written
+from corpusq.session import ship_package, spread, written
 
 # A bucket above this many members is joined by broadcast instead of by shuffle.
 HOT_MEMBERS = 100_000
@@ -50,19 +50,23 @@ def deduplicate(df: DataFrame, content_col: str = "content", order_col: str = "i
 def minhash_bands(df: DataFrame, content_col: str = "content", id_col: str = "id",
                   settings: Settings = Settings()) -> DataFrame:
     """(id, band, key): the bucket of each row in every band."""
+    # No row has an empty array. The outer form spares the not-empty filter that Spark
+    # derives for the plain one and that would compute every signature twice.
     return add_bucket_keys(df, content_col, id_col, settings).select(
-        id_col, F.posexplode("_buckets").alias("band", "key")
+        id_col, F.posexplode_outer("_buckets").alias("band", "key")
     )
 
 
 def add_bucket_keys(df: DataFrame, content_col: str, id_col: str, settings: Settings) -> DataFrame:
     """``_buckets``: one key per band; a row without text gets a bucket of its own."""
+    ship_package(df.sparkSession)
     bands, rows = minhash.choose_bands(settings.minhash_threshold, settings.minhash_num_perm)
     sig = minhash.signature(F.col(content_col), bands * rows)
     lone = F.array(F.concat(F.lit("no text "), F.col(id_col).cast("string")))
     return (
         df.withColumn("_signature", sig)
-        .withColumn("_buckets", F.coalesce(minhash.band_keys(F.col("_signature"), bands, rows), lone))
+        .withColumn("_buckets", F.when(F.col("_signature").isNull(), lone).otherwise(
+            minhash.band_keys(F.col("_signature"), bands, rows)))
         .drop("_signature")
     )
 

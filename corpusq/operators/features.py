@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusq.config import Settings
 from corpusq.functions import text as tx
 from corpusq.functions.structure import python_structure
+from corpusq.session import ship_package
 
 TEXT_COLUMNS = ["num_lines", "avg_line_length", "alphanum_fraction", "comment_ratio"]
 STRUCTURE_COLUMNS = ["is_parseable", "num_functions", "num_classes", "has_docstring", "parse_error"]
@@ -59,6 +60,7 @@ def add_structure(df: DataFrame, language: str | None = None, content_col: str =
                              "has_docstring:boolean,parse_error:string>")
         with_struct = df.withColumn("_structure", s)
     else:
+        ship_package(df.sparkSession)
         code = F.col(content_col)
         if language is None:
             code = F.when(F.col("language") == "python", code)

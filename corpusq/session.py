@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +25,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_DEFAULTS.items():
         if key not in chosen:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, which need it for the Arrow functions."""
+    _ship_once(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _ship_once(application_id: str) -> None:
+    package = Path(__file__).resolve().parent
+    # Spark's file server passes the archive on, so a local folder of the driver will do.
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='corpusq-')}/{package.name}", "zip", package.parent, package.name
+    )
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

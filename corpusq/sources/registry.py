@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusq.session import written
+
 # File offsets for up to this many files are broadcast; beyond it they are joined by shuffle.
 BROADCAST_FILES = 200_000
 # Up to this many files are named in a pruning filter of a first-n read.
@@ -85,24 +87,24 @@ def with_position(df: DataFrame, n: int | None = None) -> DataFrame:
     """Add ``position``: 0-based place of each row in file order, then row order.
 
     ``df`` must be a file scan. Rows are not sorted or moved: a row's place in its
-    file comes with the scan, and only per-file row counts, which Parquet footers
-    answer, are summed up. With ``n`` given only the first n rows are kept and the
+    file comes with the scan, and only the per-file row counts are summed up, one
+    row per file. With ``n`` given only the first n rows are kept and the
     files beyond them are not opened again.
     """
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
+    starts = written(
         placed.groupBy("_file").agg(F.count("*").alias("_rows"))
-        .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")),
+        "starts",
     )
-    few_files = len(df.inputFiles()) <= BROADCAST_FILES
     if n is not None:
         starts = starts.filter(F.col("_start") < n)
-        if few_files:
-            needed = [r["_file"] for r in starts.select("_file").limit(PRUNED_FILES + 1).collect()]
-            if len(needed) <= PRUNED_FILES:
-                placed = placed.filter(F.col("_metadata.file_path").isin(needed))
+        needed = [r["_file"] for r in starts.select("_file").limit(PRUNED_FILES + 1).collect()]
+        if len(needed) <= PRUNED_FILES:
+            placed = placed.filter(F.col("_metadata.file_path").isin(needed))
+    few_files = starts.count() <= BROADCAST_FILES
     joined = placed.join(F.broadcast(starts) if few_files else starts, "_file")
     positioned = joined.withColumn("position", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
     return positioned if n is None else positioned.filter(F.col("position") < n)
