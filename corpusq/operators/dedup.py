@@ -25,7 +25,7 @@ HOT_MEMBERS = 100_000
 # Most hot buckets there can be; the floor rises with the input to keep it so.
 MAX_HOT_BUCKETS = 50_000
 # Once no more rows than this are open, one task folds them in order.
-FINISH_ROWS = 50_000
+FINISH_ROWS = 20_000
 
 
 def add_content_hash(df: DataFrame, content_col: str = "content") -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from corpusq.config import Settings
 from corpusq.operators import dedup, features, judge, scoring
-from corpusq.plans import reports
 from corpusq.session import prepare, spread, written
 from corpusq.sources import layers, registry
 
@@ -132,7 +131,3 @@ def run(spark: SparkSession, folders: Folders, settings: Settings = Settings(),
     if stage in ("score", "all"):
         result = score_stage(spark, folders, settings, replies, run_ts)
     return result
-
-
-def summary(scored: DataFrame) -> DataFrame:
-    return reports.run_summary(scored)

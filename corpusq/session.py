@@ -21,7 +21,7 @@ RUNTIME_DEFAULTS = {
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime defaults this library is tuned for, keeping anything already chosen."""
-    chosen = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    chosen = spark.conf.getAll
     for key, value in RUNTIME_DEFAULTS.items():
         if key not in chosen:
             spark.conf.set(key, value)
