@@ -210,6 +210,17 @@ MEETING = """meeting AS (
     (SELECT key FROM {bands} JOIN {rows} USING (id) GROUP BY key HAVING count(*) > 1) s USING (key)))"""
 
 
+# Documents after exact dedup, with the fold over what is left.
+NEAR_TEXTS = [
+    "corpora AS (SELECT doc_id, printf('documents_text_%06d', doc_id) AS id, text AS content FROM documents)",
+    measures("corpora"),
+    f"unique_rows AS (SELECT min(doc_id) AS id, {HASH} AS content_hash FROM measured GROUP BY 2)",
+    *buckets(),
+    "unique_keys AS (SELECT keyed.id, keys FROM keyed JOIN unique_rows USING (id))",
+    MEETING.format(rows="unique_keys", bands="bands"), kept_fold("meeting"),
+]
+
+
 # ---- assembly -------------------------------------------------------------------------
 
 def source_mapping() -> str:
@@ -236,6 +247,16 @@ def ingested(where: str = "") -> str:
   doc_id, n_chars, NULL::BIGINT AS size FROM documents {where}"""
 
 
+def stage_counts(rows: str, near: str, parses: str) -> str:
+    return f"""SELECT *, {ratio('raw_rows - unique_rows', 'raw_rows')} AS duplicate_rate,
+  {ratio('unique_rows - near_rows', 'unique_rows')} AS near_duplicate_rate,
+  {ratio('near_rows - kept_rows', 'near_rows')} AS filtered_rate
+FROM (SELECT count(*) AS raw_rows, count(*) FILTER (copy = 1) AS unique_rows,
+  count(*) FILTER (copy = 1 AND {near}) AS near_rows,
+  count(*) FILTER (copy = 1 AND {near} AND passes) AS kept_rows,
+  count(*) FILTER (copy = 1 AND {near} AND passes AND {parses}) AS parseable_rows FROM {rows})"""
+
+
 def all_oracles() -> dict[str, str]:
     full = scored()
     sql = {
@@ -268,14 +289,7 @@ FROM (SELECT id, min(id) OVER (PARTITION BY key) AS first FROM bands) WHERE firs
         "near_dedup": "WITH RECURSIVE " + ",\n".join(
             [*buckets(), MEETING.format(rows="keyed", bands="bands"), kept_fold("meeting")]
         ) + "\nSELECT id FROM keyed WHERE id NOT IN (SELECT id FROM fold WHERE pos > 0 AND NOT kept)",
-        "transforms_near": "WITH RECURSIVE " + ",\n".join(
-            ["corpora AS (SELECT doc_id, printf('documents_text_%06d', doc_id) AS id, text AS content FROM documents)",
-             measures("corpora"),
-             f"unique_rows AS (SELECT min(doc_id) AS id, {HASH} AS content_hash FROM measured GROUP BY 2)",
-             *buckets(),
-             "unique_keys AS (SELECT keyed.id, keys FROM keyed JOIN unique_rows USING (id))",
-             MEETING.format(rows="unique_keys", bands="bands"), kept_fold("meeting")]
-        ) + f"""\nSELECT m.id, content_hash, num_lines, avg_line_length, alphanum_fraction, comment_ratio
+        "transforms_near": "WITH RECURSIVE " + ",\n".join(NEAR_TEXTS) + f"""\nSELECT m.id, content_hash, num_lines, avg_line_length, alphanum_fraction, comment_ratio
 FROM measured m JOIN unique_rows u ON u.id = m.doc_id
 WHERE {PASSES} AND m.doc_id NOT IN (SELECT id FROM fold WHERE pos > 0 AND NOT kept)""",
         "syntactic_score": with_ctes(
@@ -323,11 +337,12 @@ FROM (SELECT count(*) AS total, count(*) FILTER (above_threshold) AS passed,
             RENDERED, STRUCTURE, measures("rendered"),
             f"""firsts AS (SELECT *, row_number() OVER (PARTITION BY {HASH} ORDER BY id) AS copy,
   {PASSES} AS passes FROM measured JOIN structure USING (id))""",
-            final=f"""SELECT *, {ratio('raw_rows - unique_rows', 'raw_rows')} AS duplicate_rate,
-  {ratio('unique_rows - kept_rows', 'unique_rows')} AS filtered_rate
-FROM (SELECT count(*) AS raw_rows, count(*) FILTER (copy = 1) AS unique_rows,
-  count(*) FILTER (copy = 1 AND passes) AS kept_rows,
-  count(*) FILTER (copy = 1 AND passes AND is_parseable) AS parseable_rows FROM firsts)"""),
+            final=stage_counts("firsts", "true", "is_parseable")),
+        "stage_counts_near": "WITH RECURSIVE " + ",\n".join(
+            [*NEAR_TEXTS, f"""firsts AS (SELECT m.*, CASE WHEN u.id IS NULL THEN 2 ELSE 1 END AS copy, {PASSES} AS passes
+  FROM measured m LEFT JOIN unique_rows u ON u.id = m.doc_id)""",
+             "beaten AS (SELECT id FROM fold WHERE pos > 0 AND NOT kept)"]
+        ) + "\n" + stage_counts("firsts", "doc_id NOT IN (SELECT id FROM beaten)", "false"),
         "overview_metrics": with_ctes(*full, final=f"""SELECT *, {ratio('passed', 'total')} AS pass_rate
 FROM (SELECT count(*) AS total, count(*) FILTER (composite_score >= 0.7) AS passed,
   count(DISTINCT content_hash) AS unique_samples, count(*) FILTER (worst > 0) AS flagged FROM scored)"""),

@@ -333,6 +333,11 @@ def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
     return reports.stage_counts(spread(rendered_records(spark, sf), "id"), "python")
 
 
+def stage_counts_near(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spread(document_records(spark, sf), "id")
+    return reports.stage_counts(rows, "text", Settings(dedup_near=True))
+
+
 def overview_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return reports.overview_metrics(scoring.add_max_severity(scored(spark, sf)))
 
@@ -364,7 +369,7 @@ NAMES = [
     structure_non_python, minhash_bands, near_dup_lookup, near_dedup, syntactic_score, doc_score,
     security_findings, security_score, max_severity, judge_sample, judge_prompt, judge_parse, judge_attach,
     composite_no_judge, composite_with_judge, threshold_flag, run_transforms, transforms_near, score_stage,
-    full_run, run_summary, stage_counts, overview_metrics, score_histogram, score_distribution,
+    full_run, run_summary, stage_counts, stage_counts_near, overview_metrics, score_histogram, score_distribution,
     sample_browser, language_profile,
 ]
 

@@ -6,7 +6,7 @@ the questions as a table, and a table of raw replies comes back in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.config import Settings
@@ -27,7 +27,8 @@ RUBRIC = (
 FENCE = "```"
 
 
-def _bounded(ids: DataFrame, rows: int) -> DataFrame:
+def bounded(ids: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table of at most ``rows`` rows if that is few enough."""
     return F.broadcast(ids) if rows <= BROADCAST_ROWS else ids
 
 
@@ -35,19 +36,33 @@ def judge_sample_ids(df: DataFrame, settings: Settings = Settings(), id_col: str
     """Ids of exactly min(n, rows) rows, drawn uniformly without replacement.
 
     A seeded hash of the id orders the rows, so the draw does not depend on
-    partitioning. Only the narrow id column takes part in the top-n.
+    partitioning. Only the narrow id column takes part. A sample too large to pass
+    through one task is ranked within hash ranges instead of by one top-n.
     """
+    n = settings.judge_sample_size
     key = F.md5(F.concat_ws(":", F.lit(str(settings.judge_seed)), F.col(id_col).cast("string")))
+    drawn = df.select(id_col, key.alias("_draw"))
+    if n <= BROADCAST_ROWS:
+        return drawn.orderBy("_draw", id_col).limit(n).select(id_col)
+    # 65,536 ranges of even size, as the hash is uniform; their counts are one small table.
+    ranged = drawn.withColumn("_range", F.substring("_draw", 1, 4))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+        .filter(F.col("_before") < n)
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_draw", id_col))
     return (
-        df.select(id_col, key.alias("_draw")).orderBy("_draw", id_col)
-        .limit(settings.judge_sample_size).select(id_col)
+        ranged.join(F.broadcast(starts), "_range").withColumn("_place", F.col("_before") + place)
+        .filter(F.col("_place") <= n).select(id_col)
     )
 
 
 def judge_sample(df: DataFrame, settings: Settings = Settings(), id_col: str = "id") -> DataFrame:
     """The sampled rows with all their columns."""
     ids = judge_sample_ids(df, settings, id_col)
-    return df.join(_bounded(ids, settings.judge_sample_size), id_col, "left_semi")
+    return df.join(bounded(ids, settings.judge_sample_size), id_col, "left_semi")
 
 
 def judge_prompts(df: DataFrame, settings: Settings = Settings(), id_col: str = "id",
@@ -103,9 +118,9 @@ def attach_judgements(df: DataFrame, replies: DataFrame | None, settings: Settin
     n = settings.judge_sample_size
     asked = judge_sample_ids(df, settings, id_col)
     marks = (
-        parse_replies(replies.select(id_col, "reply").join(_bounded(asked, n), id_col, "left_semi"))
+        parse_replies(replies.select(id_col, "reply").join(bounded(asked, n), id_col, "left_semi"))
         .groupBy(id_col).agg(F.min(F.struct("llm_score", "llm_reason")).alias("_mark"))
         .select(id_col, "_mark.llm_score", "_mark.llm_reason")
     )
     # One row per sampled id at most, so the sample size bounds the broadcast.
-    return df.join(_bounded(marks, n), id_col, "left")
+    return df.join(bounded(marks, n), id_col, "left")

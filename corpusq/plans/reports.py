@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from corpusq.config import Settings
 from corpusq.operators import dedup, features
+from corpusq.operators.judge import bounded
+from corpusq.session import written
 
 # The columns the reports look for.
 SCORE_COLUMNS = ("syntactic_score", "doc_score", "security_score", "llm_score")
@@ -91,34 +93,52 @@ def sample_browser(scored: DataFrame, threshold: float = 0.7, rows: int = 50, id
         scored.select("composite_score", id_col).filter(F.col("composite_score") >= threshold)
         .orderBy(*order).limit(rows).select(id_col)
     )
-    shown = scored.filter(F.col("composite_score") >= threshold).join(F.broadcast(best), id_col, "left_semi")
+    shown = scored.filter(F.col("composite_score") >= threshold).join(bounded(best, rows), id_col, "left_semi")
     return shown.orderBy(*order).limit(rows).select(id_col, *columns)
 
 
 def stage_counts(raw: DataFrame, language: str, settings: Settings = Settings()) -> DataFrame:
-    """Rows left and share removed after exact dedup and after the cut-offs, and rows that parse.
+    """Rows left and share removed after exact dedup, near dedup (where switched on) and
+    the cut-offs, and rows that parse.
 
-    One pass: each text is measured where it is read, then one narrow row per
-    distinct text is kept, with the number of its copies.
+    Each text is measured where it is read; then one narrow row per distinct text is
+    kept, with the number of its copies.
     """
     measured = features.add_text_features(dedup.add_content_hash(raw))
+    keys = []
+    if settings.dedup_near:
+        measured = dedup.add_bucket_keys(measured, "content", "id", settings)
+        keys = [F.col("_buckets").alias("buckets")]
     passes = F.coalesce(features.passes_cutoffs(settings), F.lit(False))
     parsed = features.add_structure(
         measured.withColumn("_passes", passes).withColumn("content", F.when(F.col("_passes"), F.col("content"))),
         language,
     )
     outcome = F.struct(F.col("id"), F.col("_passes").alias("passes"),
-                       (F.col("_passes") & F.coalesce("is_parseable", F.lit(False))).alias("parses"))
-    per_text = parsed.groupBy("content_hash").agg(F.count("*").alias("copies"), F.min(outcome).alias("first"))
-    counts = per_text.agg(
+                       (F.col("_passes") & F.coalesce("is_parseable", F.lit(False))).alias("parses"), *keys)
+    texts = parsed.groupBy("content_hash").agg(F.count("*").alias("copies"), F.min(outcome).alias("first"))
+    texts = texts.select("copies", "first.*")
+    if settings.dedup_near:
+        texts = written(texts, "texts")
+        kept = dedup.keep_first(texts.select("id", "buckets")).withColumn("_kept", F.lit(True))
+        texts = texts.join(kept, "id", "left").withColumn("near", F.coalesce("_kept", F.lit(False)))
+    else:
+        texts = texts.withColumn("near", F.lit(True))
+    counts = texts.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.count("*").alias("unique_rows"),
-        F.count_if("first.passes").alias("kept_rows"),
-        F.count_if("first.parses").alias("parseable_rows"),
+        F.count_if("near").alias("near_rows"),
+        F.count_if(F.col("near") & F.col("passes")).alias("kept_rows"),
+        F.count_if(F.col("near") & F.col("parses")).alias("parseable_rows"),
     )
+
+    def removed(left: str, before: str) -> Column:
+        return _ratio(F.col(before) - F.col(left), F.col(before))
+
     return counts.withColumns(
         {
-            "duplicate_rate": _ratio(F.col("raw_rows") - F.col("unique_rows"), F.col("raw_rows")),
-            "filtered_rate": _ratio(F.col("unique_rows") - F.col("kept_rows"), F.col("unique_rows")),
+            "duplicate_rate": removed("unique_rows", "raw_rows"),
+            "near_duplicate_rate": removed("near_rows", "unique_rows"),
+            "filtered_rate": removed("kept_rows", "near_rows"),
         }
     )
