@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusq.config import Settings
-from corpusq.functions import text as tx
 from corpusq.operators import dedup, features, judge, scoring
 from corpusq.plans import reports, stages
 from corpusq.plans.rendered import rendered_corpus

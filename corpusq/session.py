@@ -81,13 +81,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# A session with more cores than this is a cluster whose inputs fill it anyway.
+SPREAD_CORES = 256
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-distribute a small input over all cores before CPU-heavy row work.
 
-    An input that already fills the cluster passes through untouched, so nothing
-    is shuffled at scale; a few small files would otherwise run as a task or two.
+    A few small files would otherwise run as a task or two. An input of many files,
+    or any input on a large cluster, passes through untouched: nothing is shuffled
+    at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    if cores > SPREAD_CORES or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, key)

@@ -1,7 +1,7 @@
 """Every registered query against its DuckDB twin, on the smallest tables."""
 import duckdb
 import pytest
-from conftest import SMALL
+from conftest import SMALL, plan_of
 
 import __spark_entry__ as entry
 
@@ -10,6 +10,11 @@ QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
+# Queries whose last plan runs one of the two Arrow functions; no other may start Python workers.
+ARROW = {"python_structure", "structure_non_python", "syntactic_score", "doc_score", "stage_counts", "minhash_bands"}
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas", "FlatMapGroups")
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -35,6 +40,11 @@ def test_query(spark, duck, name):
     want = sorted((tuple(row[i] for i in at) for row in result.fetchall()), key=repr)
     assert got == want
 
+    plan = plan_of(df)
+    assert not [operator for operator in FORBIDDEN if operator in plan]
+    steps = [line for line in plan.splitlines() if line.startswith("(") and "ArrowEvalPython" in line]
+    assert len(steps) == (1 if name in ARROW else 0)
+
 
 def test_entry(spark):
     df = entry.entry(spark)

@@ -55,3 +55,10 @@ def test_same_layout_on_every_path(texts, spark):
              for lang in ("python", "go")]
     assert types[0] == types[1]
     assert features.add_structure(texts([]), "python").count() == 0
+
+
+def test_prose_with_texts_beyond_the_parsers_limits(spark):
+    # Among these are texts on which the parser runs out of its own stack.
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumnRenamed("text", "content")
+    out = features.add_structure(docs, "python").select("is_parseable", "parse_error").collect()
+    assert len(out) == 1000 and not any(r.is_parseable for r in out) and all(r.parse_error for r in out)
