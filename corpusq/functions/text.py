@@ -50,24 +50,34 @@ def content_hash(text: Column) -> Column:
     return F.sha2(strip(text), 256)
 
 
-def length_without_line_ends(text: Column) -> Column:
-    # Nearly every text ends its lines with "\n" alone. Byte searches settle
-    # that cheaply, and only the exceptions pay for a regex pass.
-    unusual = reduce(or_, [_has(text, c) for c in LINE_ENDS[1:]])
+def has_unusual_ends(text: Column) -> Column:
+    """True where some line ends in anything but a bare line feed.
+
+    Few texts do. This is a plain byte search, and it spares all others the slower
+    general treatment in the functions below; each takes its result as ``unusual``
+    where the caller has it at hand already.
+    """
+    return reduce(or_, [_has(text, c) for c in LINE_ENDS[1:]])
+
+
+def length_without_line_ends(text: Column, unusual: Column | None = None) -> Column:
+    unusual = has_unusual_ends(text) if unusual is None else unusual
     return F.when(unusual, F.length(F.regexp_replace(text, END_CLASS, ""))).otherwise(
         F.length(_without(text, "\n"))
     )
 
 
-def line_count(text: Column, unended: Column | None = None) -> Column:
+def line_count(text: Column, unusual: Column | None = None, unended: Column | None = None) -> Column:
     """Number of lines; a closing line end opens no further line, CR LF ends one.
 
-    ``unended`` may pass in ``length_without_line_ends`` where it is already at hand.
+    ``unended`` may pass in ``length_without_line_ends``.
     """
-    ends = F.length(text) - (length_without_line_ends(text) if unended is None else unended)
+    unusual = has_unusual_ends(text) if unusual is None else unusual
+    ends = F.length(text) - (length_without_line_ends(text, unusual) if unended is None else unended)
     pairs = ((F.length(text) - F.length(_without(text, "\r\n"))) / 2).cast("int")
-    tail_open = (F.length(text) > 0) & ~F.substring(text, -1, 1).isin(*LINE_ENDS)
-    return (ends - pairs + tail_open.cast("int")).cast("int")
+    closed = reduce(or_, [F.endswith(text, F.lit(c)) for c in LINE_ENDS])
+    tail = F.when(closed | (text == ""), 0).otherwise(1)
+    return (ends - F.when(unusual, pairs).otherwise(0) + tail).cast("int")
 
 
 def at_least_one(n: Column) -> Column:
@@ -80,8 +90,11 @@ def alphanumeric_fraction(text: Column) -> Column:
     return kept / at_least_one(F.length(text))
 
 
-def comment_line_count(text: Column) -> Column:
+def comment_line_count(text: Column, unusual: Column | None = None) -> Column:
     """Lines whose first non-blank character is ``#``."""
-    after_end = F.regexp_count(text, F.lit(rf"{END_CLASS}{BLANK_CLASS}*#"))
+    unusual = has_unusual_ends(text) if unusual is None else unusual
+    after_end = F.when(unusual, F.regexp_count(text, F.lit(rf"{END_CLASS}{BLANK_CLASS}*#"))).otherwise(
+        F.regexp_count(text, F.lit(rf"\n{BLANK_CLASS}*#"))
+    )
     first = F.startswith(F.ltrim(text, F.lit(INLINE_BLANKS)), F.lit("#")).cast("int")
     return F.when(_has(text, "#"), after_end + first).otherwise(F.when(text.isNotNull(), 0))

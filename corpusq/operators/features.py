@@ -22,17 +22,18 @@ def add_text_features(df: DataFrame, content_col: str = "content") -> DataFrame:
     c = F.col(content_col)
     counted = (
         df.drop(*TEXT_COLUMNS)
-        .withColumn("_unended", tx.length_without_line_ends(c))
-        .withColumn("_lines", tx.line_count(c, F.col("_unended")))
+        .withColumn("_unusual", tx.has_unusual_ends(c))
+        .withColumn("_unended", tx.length_without_line_ends(c, F.col("_unusual")))
+        .withColumn("_lines", tx.line_count(c, F.col("_unusual"), F.col("_unended")))
     )
     lines = tx.at_least_one(F.col("_lines"))
     # A one-row stack rather than a projection: a filter on a measure would be
     # pushed below a projection, and each text pass would run twice per row.
     measures = F.stack(
         F.lit(1), F.col("_lines"), F.col("_unended") / lines, tx.alphanumeric_fraction(c),
-        tx.comment_line_count(c) / lines,
+        tx.comment_line_count(c, F.col("_unusual")) / lines,
     ).alias(*TEXT_COLUMNS)
-    return counted.select("*", measures).drop("_unended", "_lines")
+    return counted.select("*", measures).drop("_unusual", "_unended", "_lines")
 
 
 def passes_cutoffs(settings: Settings = Settings()) -> Column:
