@@ -66,3 +66,8 @@ def raw_schema(extras: dict[str, T.DataType] | None = None) -> T.StructType:
 def cleaned_schema() -> T.StructType:
     """Cleaned layer without source extras; the partition columns come last."""
     return T.StructType(RAW_FIELDS + CLEANED_FIELDS + RAW_PARTITION_FIELDS[:2])
+
+
+def scored_schema() -> T.StructType:
+    """Scored layer: the cleaned columns, then the scores and stamps."""
+    return T.StructType(list(cleaned_schema()) + SCORED_FIELDS)

@@ -52,8 +52,11 @@ def write_cleaned(df: DataFrame, path: str, balance: bool = False) -> None:
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """Every cleaned file, columns united by name. A missing or empty folder raises."""
     df = spark.read.option("mergeSchema", True).parquet(path)
-    keys = {k: F.col(k).cast("string") for k in CLEANED_KEYS if k in df.columns}
-    return df.withColumns(keys) if keys else df
+    if all(isinstance(f.dataType, T.StringType) for f in df.schema if f.name in CLEANED_KEYS):
+        return df
+    # A key such as "007" was taken for a number: read again with the keys as text.
+    fields = [T.StructField(f.name, T.StringType()) if f.name in CLEANED_KEYS else f for f in df.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def read_tree(spark: SparkSession, path: str) -> DataFrame:

@@ -108,6 +108,16 @@ def test_raw_layer_replaces_the_same_day_and_prunes(spark, tmp_path):
     assert "source" in pruning and "language" in pruning
 
 
+def test_cleaned_layer_unites_files_and_keeps_keys_as_text(spark, tmp_path):
+    path = str(tmp_path / "processed")
+    layers.write_cleaned(spark.createDataFrame([("a", "007", "go", 5)],
+                                               "id string, source string, language string, size bigint"), path)
+    layers.write_cleaned(spark.createDataFrame([("b", "8", "go", "f")],
+                                               "id string, source string, language string, entry string"), path)
+    rows = layers.read_cleaned(spark, path).select("id", "source", "language", "size", "entry").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("a", "007", "go", 5, None), ("b", "8", "go", None, "f")]
+
+
 def test_jsonl_keeps_nulls(spark, tmp_path):
     df = spark.createDataFrame([("a", None, TS, [("HIGH", 1)])],
                                "id string, llm_score double, scored_at timestamp, f array<struct<s:string,l:int>>")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpusq.config import Settings
 from corpusq.plans import reports, stages
 from corpusq.plans.rendered import rendered_corpus
-from corpusq.schemas import cleaned_schema
+from corpusq.schemas import cleaned_schema, scored_schema
 from corpusq.sources.registry import SourceSpec
 
 TS = datetime(2024, 1, 2, tzinfo=timezone.utc)
@@ -59,6 +59,11 @@ def test_cleaned_layout(spark):
     want = {f.name: f.dataType for f in cleaned_schema()}
     assert {f.name: f.dataType for f in out.schema} == want
 
+    def plain(df_or_schema):
+        return {f.name: f.dataType.simpleString() for f in df_or_schema}
+
+    assert plain(stages.score_rows(out, run_ts=TS).schema) == plain(scored_schema())
+
 
 def test_unknown_stage(spark):
     with pytest.raises(ValueError):
