@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import chat, mixing, quality
-from corpusq.llm.common import table
+from corpusq.llm import chat, language, mixing, quality, toxicity
+from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def op1_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf, "labels"))
+    return toxicity.score_texts(docs, model, keep=["doc_id"]).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"))
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.apply_rules(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -42,7 +50,16 @@ def op4_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.col("x.chars").alias("formatted_chars"))
 
 
-ALL: tuple[Query, ...] = (op1_mix_sources, op3_quality_rules, op4_chat_format)
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.learn(docs.select("doc_id", "text", "lang"))
+    return language.identify(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+ALL: tuple[Query, ...] = (
+    op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op7_language,
+)
 
 
 def _prepared(query: Query) -> Query:
