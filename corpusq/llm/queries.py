@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import chat, language, mixing, quality, toxicity
+from corpusq.llm import chat, html_text, language, mixing, quality, toxicity
 from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
@@ -57,8 +57,13 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
+
+
 ALL: tuple[Query, ...] = (
     op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op7_language,
+    op8_html_text,
 )
 
 
