@@ -163,7 +163,7 @@ def _best(elements: list[Element]) -> Element | None:
         chars, _, commas = node.own
         points = 1.0 + commas + min(chars / 100, 3.0)
         up, share = node.parent, 1.0
-        while up is not None and up.tag not in ("#root", "html"):
+        while up is not None and up.tag not in ("#root", "html") and share > 1e-6:
             if id(up) not in candidates:
                 candidates[id(up)] = up
                 up.points = LIKELY_TAGS.get(up.tag, 0.0)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import chat, html_text, language, mixing, quality, toxicity
+from corpusq.llm import chat, html_text, language, mixing, packing, quality, token_counts, toxicity
 from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
+PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -50,6 +52,10 @@ def op4_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.col("x.chars").alias("formatted_chars"))
 
 
+def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = language.learn(docs.select("doc_id", "text", "lang"))
@@ -61,9 +67,13 @@ def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extract(table(spark, sf, "pages"))
 
 
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(packing.cut(table(spark, sf, "documents"), public_tokenizers.path(WORD_MODEL)))
+
+
 ALL: tuple[Query, ...] = (
-    op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op7_language,
-    op8_html_text,
+    op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op6_token_counts,
+    op7_language, op8_html_text, op9_packing,
 )
 
 
