@@ -76,9 +76,10 @@ class Encoder:
         others = []
         for part in parts:
             letters = part.rstrip(SIMPLE_TAIL)
-            if letters.isalpha() and max(letters) < "ɐ":
+            lower = letters.lower()
+            if lower.isalpha() and max(letters) < "ɐ":
                 tail = part[len(letters):]
-                self.parts[part] = self._word(letters.lower()) + (self._word(tail) if tail else b"")
+                self.parts[part] = self._word(lower) + (self._word(tail) if tail else b"")
             else:
                 others.append(part)
         if others:

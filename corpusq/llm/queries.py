@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import chat, html_text, language, mixing, packing, quality, token_counts, toxicity
+from corpusq.llm import chat, html_text, language, mixing, neighbours, packing, quality, token_counts, toxicity
 from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
@@ -71,9 +71,13 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(packing.cut(table(spark, sf, "documents"), public_tokenizers.path(WORD_MODEL)))
 
 
+def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 ALL: tuple[Query, ...] = (
     op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op6_token_counts,
-    op7_language, op8_html_text, op9_packing,
+    op7_language, op8_html_text, op9_packing, op10_neighbours,
 )
 
 
