@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import chat, html_text, language, mixing, neighbours, packing, quality, token_counts, toxicity
+from corpusq.llm import chat, html_text, jaccard, language, mixing, neighbours, packing, quality, token_counts, toxicity
 from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
@@ -52,6 +52,10 @@ def op4_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.col("x.chars").alias("formatted_chars"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents"), words=3, percent=90)
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(PIECE_MODEL))
 
@@ -76,8 +80,8 @@ def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ALL: tuple[Query, ...] = (
-    op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op6_token_counts,
-    op7_language, op8_html_text, op9_packing, op10_neighbours,
+    op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op5_jaccard_join,
+    op6_token_counts, op7_language, op8_html_text, op9_packing, op10_neighbours,
 )
 
 
