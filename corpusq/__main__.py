@@ -17,7 +17,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--stage", default="all", choices=stages.STAGES)
     p.add_argument("--source", default=defaults.source, choices=sorted(SOURCES))
     p.add_argument("--language", default=defaults.language)
-    p.add_argument("--sample", type=int, default=defaults.sample_size, help="first N rows; 0 takes all")
+    p.add_argument("--sample", type=int, default=defaults.sample_size, help="first N rows only")
     p.add_argument("--near-dedup", action="store_true")
     p.add_argument("--source-dir", required=True, help="root folder of the source's Parquet files")
     p.add_argument("--data-dir", required=True, help="root folder of the raw, processed and scored layers")
@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("corpusq").getOrCreate()
-    settings = Settings(source=a.source, language=a.language, sample_size=a.sample or None, dedup_near=a.near_dedup)
+    settings = Settings(source=a.source, language=a.language, sample_size=a.sample, dedup_near=a.near_dedup)
     replies = spark.read.parquet(a.replies) if a.replies else None
     result = stages.run(spark, stages.Folders(a.source_dir, a.data_dir), settings, a.stage, replies)
     if a.stage in ("score", "all"):

@@ -1,19 +1,23 @@
 """DuckDB SQL that recomputes each registered query from the given tables.
 
-Texts are measured and scanned by DuckDB's own functions. The structure of rendered
+Texts are measured and scanned by DuckDB's own functions. Security rules, permutations of
+the signature and the prompt are shared with the code: they are parameters, and the SQL
+checks what is computed from them. The structure of rendered
 texts is taken from document-number arithmetic, so no parser is trusted twice.
 """
 
 from __future__ import annotations
 
-from corpusq.catalog.queries import FIRST_N, TABLE_SOURCES
+from corpusq.catalog.queries import FIRST_N, SAMPLED, TABLE_SOURCES, WIDE_FROM
 from corpusq.config import Settings
 from corpusq.functions import minhash, security
-from corpusq.functions.text import BLANKS, INLINE_BLANKS, LINE_ENDS, char_class
 
 S = Settings()
-END, INLINE = f"[{char_class(LINE_ENDS)}]", f"[{char_class(INLINE_BLANKS)}]"
-STRIP_SET = "||".join(f"chr({ord(c)})" for c in BLANKS)
+# Spelt out apart from the code under test: what ends a line, and what else is blank.
+END = r"[\x{a}-\x{d}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+INLINE = r"[\x{9}\x{1f}\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
+STRIP_SET = "||".join(f"chr({n})" for n in [
+    *range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
 RUN_DATE, RUN_STAMP = "2024-05-17", "2024-05-17T10:30:00"
 
 
@@ -84,6 +88,21 @@ CLEANED = f"""cleaned AS (
   WHERE copy = 1 AND {PASSES})"""
 
 
+# A run over both corpora as one Python source: code first, then prose, which as a rule
+# does not parse; numbered in that order.
+FULL_CLEANED = f"""numbered AS (
+  SELECT *, row_number() OVER (ORDER BY source <> 'rendered', id) - 1 AS position FROM measured),
+cleaned AS (
+  SELECT printf('rendered_python_%06d', position) AS id, 'rendered' AS source, 'python' AS language, content,
+    content_hash, num_lines, avg_line_length, alphanum_fraction, comment_ratio,
+    coalesce(s.is_parseable, false) AS is_parseable, coalesce(s.num_functions, 0) AS num_functions,
+    coalesce(s.num_classes, 0) AS num_classes, coalesce(s.has_docstring, false) AS has_docstring
+  FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY position) AS copy
+        FROM (SELECT *, {HASH} AS content_hash FROM numbered)) m
+  LEFT JOIN structure s ON s.id = m.id
+  WHERE copy = 1 AND {PASSES})"""
+
+
 # ---- scores ---------------------------------------------------------------------------
 
 def found(source: str) -> str:
@@ -114,34 +133,43 @@ DOC = """greatest(0, least(100, CASE WHEN has_docstring THEN 50 ELSE 0 END
     + CASE WHEN comment_ratio >= 0.10 THEN 30 WHEN comment_ratio >= 0.05 THEN 15 ELSE 0 END
     - CASE WHEN num_functions >= 3 AND NOT has_docstring THEN 10 ELSE 0 END))::DOUBLE / 100"""
 
-REPLIES = """marks AS (
+# Structure of both corpora: prose is no Python and is not parsed.
+BOTH_STRUCTURE = """SELECT m.*, s.is_parseable, coalesce(s.num_functions, 0) AS num_functions,
+    coalesce(s.num_classes, 0) AS num_classes, coalesce(s.has_docstring, false) AS has_docstring
+  FROM measured m LEFT JOIN structure s USING (id)"""
+
+REPLIES = """replies AS (
   SELECT doc_id,
     CASE WHEN doc_id % 11 = 0 OR (doc_id % 13 <> 0 AND (doc_id % 17 = 0 OR doc_id % 19 = 0)) THEN NULL
          ELSE (1 + 4 * quality)::DOUBLE END AS llm_score,
     CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN '' WHEN doc_id % 17 = 0 THEN 'off the scale'
          WHEN doc_id % 19 = 0 THEN 'no mark' ELSE 'r' || doc_id END AS llm_reason
-  FROM labels)"""
+  FROM labels
+  UNION ALL SELECT doc_id, (1 + 4 * quality)::DOUBLE, 'asked again' FROM labels WHERE doc_id % 22 = 0
+  UNION ALL SELECT doc_id, 1.0::DOUBLE, 'second look' FROM labels WHERE doc_id % 23 = 1),
+marks AS (SELECT * FROM replies QUALIFY row_number() OVER (
+  PARTITION BY doc_id ORDER BY llm_score IS NULL, llm_score, llm_reason IS NULL, llm_reason) = 1)"""
 RECORD_REPLIES = """record_marks AS (
   SELECT printf('documents_text_%06d', doc_id) AS id, llm_score, llm_reason FROM marks
   UNION ALL SELECT printf('rendered_python_%06d', doc_id), llm_score, llm_reason FROM marks)"""
 
 
 def sampled(source: str) -> str:
-    return (f"sampled AS (SELECT id FROM {source} ORDER BY md5('{S.judge_seed}:' || id), id "
-            f"LIMIT {S.judge_sample_size})")
+    return f"sampled AS (SELECT id FROM {source} ORDER BY md5('{S.judge_seed}:' || id), id LIMIT {SAMPLED})"
 
 
 def scored(judged: bool = True, cleaned: str = CLEANED) -> list[str]:
-    marks = "LEFT JOIN (SELECT * FROM record_marks JOIN sampled USING (id)) j ON j.id = c.id" if judged else (
+    marks = "LEFT JOIN record_marks j ON j.id = c.id" if judged else (
         "LEFT JOIN (SELECT '' AS id, NULL::DOUBLE AS llm_score, NULL::VARCHAR AS llm_reason) j ON j.id = c.id")
     return [RENDERED, STRUCTURE, BOTH, measures("corpora"), cleaned, found("cleaned"), REPLIES, RECORD_REPLIES,
-            sampled("cleaned"), f"""parts AS (
+            f"""parts AS (
   SELECT c.*, {SYNTACTIC} AS syntactic_score, {DOC} AS doc_score,
     greatest(0, 100 - coalesce(cost, 0))::DOUBLE / 100 AS security_score,
     coalesce(p.n, 0) AS security_finding_count, coalesce(p.high, 0) AS security_high_count,
     coalesce(p.worst, 0) AS worst, j.llm_score, j.llm_reason
   FROM cleaned c LEFT JOIN per_row p ON p.id = c.id {marks})""", """scored AS (
-  SELECT *, composite_score >= 0.7 AS above_threshold, 'v0.1.0' AS pipeline_version FROM (
+  SELECT *, CASE worst WHEN 3 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 1 THEN 'LOW' ELSE 'NONE' END AS security_severity,
+    composite_score >= 0.7 AS above_threshold, 'v0.1.0' AS pipeline_version FROM (
     SELECT *, CAST(round(CASE WHEN llm_score IS NULL
       THEN syn * 0.4375::DECIMAL(9,8) + doc * 0.3125::DECIMAL(9,8) + sec * 0.25::DECIMAL(9,8)
       ELSE syn * 0.35::DECIMAL(9,8) + doc * 0.25::DECIMAL(9,8) + sec * 0.20::DECIMAL(9,8)
@@ -151,7 +179,8 @@ def scored(judged: bool = True, cleaned: str = CLEANED) -> list[str]:
 
 
 SCORED_COLUMNS = """id, source, language, content_hash, num_lines, syntactic_score, doc_score, security_score,
-  security_finding_count, security_high_count, llm_score, llm_reason, composite_score, above_threshold,
+  security_finding_count, security_high_count, security_severity, llm_score, llm_reason, composite_score,
+  above_threshold,
   pipeline_version"""
 
 
@@ -161,7 +190,7 @@ def ratio(part: str, whole: str) -> str:
 
 # ---- MinHash --------------------------------------------------------------------------
 
-def buckets() -> list[str]:
+def buckets(documents: str = "documents") -> list[str]:
     bands, rows = minhash.choose_bands(S.minhash_threshold, S.minhash_num_perm)
     perms = minhash.permutations(bands * rows)
     folded = "0"
@@ -180,8 +209,8 @@ def buckets() -> list[str]:
         f"md5(concat_ws(',', {band}, " + ", ".join(f"m{band * rows + r}" for r in range(rows)) + "))"
         for band in range(bands))
     return [
-        """codes AS (SELECT doc_id AS id, CASE WHEN text = '' THEN []::BIGINT[] ELSE
-  list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT) END AS codes FROM documents)""",
+        f"""codes AS (SELECT doc_id AS id, CASE WHEN text = '' THEN []::BIGINT[] ELSE
+  list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT) END AS codes FROM {documents})""",
         f"""folded AS (SELECT id, unnest(CASE WHEN len(codes) < 5 THEN [{whole}] ELSE
   list_transform(range(1, len(codes) - 3), lambda j: {folded}) END)::BIGINT AS h FROM codes)""",
         f"once AS (SELECT id, {scramble} AS h FROM folded)",
@@ -193,10 +222,10 @@ def buckets() -> list[str]:
     ]
 
 
-def kept_fold(rows: str) -> str:
+def kept_fold(rows: str, id_kind: str = "BIGINT") -> str:
     """Recursive fold over (pos, id, keys): keep a row iff it shares no key with the kept ones."""
     return f"""fold(pos, taken, kept, id) AS (
-  SELECT 0::BIGINT, []::VARCHAR[], false, NULL::BIGINT
+  SELECT 0::BIGINT, []::VARCHAR[], false, NULL::{id_kind}
   UNION ALL
   SELECT r.pos, CASE WHEN list_has_any(f.taken, r.keys) THEN f.taken ELSE list_concat(f.taken, r.keys) END,
     NOT list_has_any(f.taken, r.keys), r.id
@@ -205,7 +234,7 @@ def kept_fold(rows: str) -> str:
 
 # Rows that meet no other row are kept whatever happens; only the others enter the fold.
 MEETING = """meeting AS (
-  SELECT row_number() OVER (ORDER BY k.id) AS pos, k.id, k.keys FROM {rows} k
+  SELECT row_number() OVER (ORDER BY {order}) AS pos, k.id, k.keys FROM {rows} k
   WHERE k.id IN (SELECT id FROM {bands} b JOIN
     (SELECT key FROM {bands} JOIN {rows} USING (id) GROUP BY key HAVING count(*) > 1) s USING (key)))"""
 
@@ -216,8 +245,22 @@ NEAR_TEXTS = [
     measures("corpora"),
     f"unique_rows AS (SELECT min(doc_id) AS id, {HASH} AS content_hash FROM measured GROUP BY 2)",
     *buckets(),
-    "unique_keys AS (SELECT keyed.id, keys FROM keyed JOIN unique_rows USING (id))",
-    MEETING.format(rows="unique_keys", bands="bands"), kept_fold("meeting"),
+    "unique_keys AS (SELECT keyed.id, keys, content_hash FROM keyed JOIN unique_rows USING (id))",
+    MEETING.format(rows="unique_keys", bands="bands", order="k.content_hash"), kept_fold("meeting"),
+]
+
+
+# Documents of two days, every second one changed on the later day, after exact dedup.
+DAYS = [
+    """corpora AS (
+  SELECT doc_id, 0 AS day, text AS content FROM documents
+  UNION ALL SELECT doc_id, 1, CASE WHEN doc_id % 2 = 1 THEN text || chr(10) || 'changed since' ELSE text END FROM documents)""",
+    measures("corpora"),
+    f"""day_firsts AS (
+  SELECT *, printf('daily_text_%06d', place) AS id FROM (
+    SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY day, place) AS copy FROM (
+      SELECT *, {HASH} AS content_hash, row_number() OVER (PARTITION BY day ORDER BY doc_id) - 1 AS place FROM measured))
+  WHERE copy = 1)""",
 ]
 
 
@@ -244,7 +287,7 @@ def source_mapping() -> str:
 def ingested(where: str = "") -> str:
     return f"""SELECT printf('documents_mixed_%06d', row_number() OVER (ORDER BY doc_id) - 1) AS id,
   'documents' AS source, 'mixed' AS language, text AS content, '{RUN_STAMP}' AS ingested_at,
-  doc_id, n_chars, NULL::BIGINT AS size FROM documents {where}"""
+  row_number() OVER (ORDER BY doc_id) - 1 AS position, doc_id, n_chars, NULL::BIGINT AS size FROM documents {where}"""
 
 
 def stage_counts(rows: str, near: str, parses: str) -> str:
@@ -267,7 +310,8 @@ def all_oracles() -> dict[str, str]:
         "partition_roundtrip": f"""SELECT printf('%s_%s_%06d', source, lang, doc_id) AS id, source,
   lang AS language, text AS content, '{RUN_DATE}' AS date FROM documents""",
         "jsonl_roundtrip": f"""SELECT printf('documents_mixed_%06d', row_number() OVER (ORDER BY doc_id) - 1) AS id,
-  text AS content, '{RUN_STAMP}.000000' AS ingested_at, n_chars, NULL::BIGINT AS size,
+  'documents' AS source, 'mixed' AS language, row_number() OVER (ORDER BY doc_id) - 1 AS position,
+  text AS content, '{RUN_STAMP}.000000' AS ingested_at, doc_id, n_chars, NULL::BIGINT AS size,
   true AS null_is_explicit FROM documents""",
         "normalise_schema": "SELECT doc_id, 'the-stack' AS source, text AS content FROM documents",
         "union_by_name": """SELECT doc_id, text AS content, lang, NULL::BIGINT AS page_id, NULL::BIGINT AS item_id
@@ -287,17 +331,17 @@ UNION ALL SELECT NULL, text, NULL, NULL, item_id FROM benchmark""",
   CAST(count(*) AS BIGINT) AS shared_bands
 FROM (SELECT id, min(id) OVER (PARTITION BY key) AS first FROM bands) WHERE first < id GROUP BY id"""),
         "near_dedup": "WITH RECURSIVE " + ",\n".join(
-            [*buckets(), MEETING.format(rows="keyed", bands="bands"), kept_fold("meeting")]
+            [*buckets(), MEETING.format(rows="keyed", bands="bands", order="md5('42:' || k.id), k.id"), kept_fold("meeting")]
         ) + "\nSELECT id FROM keyed WHERE id NOT IN (SELECT id FROM fold WHERE pos > 0 AND NOT kept)",
         "transforms_near": "WITH RECURSIVE " + ",\n".join(NEAR_TEXTS) + f"""\nSELECT m.id, content_hash, num_lines, avg_line_length, alphanum_fraction, comment_ratio
 FROM measured m JOIN unique_rows u ON u.id = m.doc_id
 WHERE {PASSES} AND m.doc_id NOT IN (SELECT id FROM fold WHERE pos > 0 AND NOT kept)""",
         "syntactic_score": with_ctes(
-            RENDERED, STRUCTURE, measures("rendered"),
-            final=f"SELECT id, {SYNTACTIC} AS syntactic_score FROM measured JOIN structure USING (id)"),
+            RENDERED, STRUCTURE, BOTH, measures("corpora"),
+            final=f"SELECT id, {SYNTACTIC} AS syntactic_score FROM ({BOTH_STRUCTURE})"),
         "doc_score": with_ctes(
-            RENDERED, STRUCTURE, measures("rendered"),
-            final=f"SELECT id, {DOC} AS doc_score FROM measured JOIN structure USING (id)"),
+            RENDERED, STRUCTURE, BOTH, measures("corpora"),
+            final=f"SELECT id, {DOC} AS doc_score FROM ({BOTH_STRUCTURE})"),
         "security_findings": with_ctes(
             RENDERED, BOTH, found("corpora"), final="SELECT id, severity, text, line FROM found"),
         "security_score": with_ctes(
@@ -313,12 +357,10 @@ FROM corpora LEFT JOIN per_row USING (id)"""),
             "rows AS (SELECT doc_id AS id, text AS content FROM documents)", sampled("rows"),
             final="SELECT id, content FROM rows JOIN sampled USING (id)"),
         "judge_prompt": prompt(),
-        "judge_parse": with_ctes(REPLIES, final="SELECT doc_id, llm_score, llm_reason FROM marks"),
+        "judge_parse": with_ctes(REPLIES, final="SELECT doc_id, llm_score, llm_reason FROM replies"),
         "judge_attach": with_ctes(
-            REPLIES, "rows AS (SELECT doc_id AS id FROM documents)", sampled("rows"),
-            final="""SELECT rows.id, CASE WHEN sampled.id IS NOT NULL THEN llm_score END AS llm_score,
-  CASE WHEN sampled.id IS NOT NULL THEN llm_reason END AS llm_reason
-FROM rows LEFT JOIN sampled USING (id) LEFT JOIN marks ON marks.doc_id = rows.id"""),
+            REPLIES, final="""SELECT d.doc_id AS id, llm_score, llm_reason
+FROM documents d LEFT JOIN marks ON marks.doc_id = d.doc_id"""),
         "composite_no_judge": with_ctes(
             *scored(judged=False), final="SELECT id, llm_score, composite_score FROM scored"),
         "composite_with_judge": with_ctes(
@@ -327,23 +369,24 @@ FROM rows LEFT JOIN sampled USING (id) LEFT JOIN marks ON marks.doc_id = rows.id
         "run_transforms": with_ctes(RENDERED, STRUCTURE, BOTH, measures("corpora"), CLEANED, final="SELECT * FROM cleaned"),
         "score_stage": with_ctes(*full, final=f"SELECT {SCORED_COLUMNS} FROM scored"),
         "full_run": with_ctes(
-            *scored(cleaned=CLEANED.replace("WHERE copy = 1", "WHERE source = 'rendered' AND copy = 1")),
+            *scored(cleaned=FULL_CLEANED),
             final=f"""SELECT {SCORED_COLUMNS}, NULL::BIGINT AS size, '{RUN_STAMP}' AS scored_at FROM scored"""),
         "run_summary": with_ctes(*full, final=f"""SELECT *, {ratio('passed', 'total')} AS pass_rate,
   {ratio('with_findings', 'total')} AS findings_rate
 FROM (SELECT count(*) AS total, count(*) FILTER (above_threshold) AS passed,
   count(*) FILTER (security_finding_count > 0) AS with_findings FROM scored)"""),
         "stage_counts": with_ctes(
-            RENDERED, STRUCTURE, measures("rendered"),
+            RENDERED, STRUCTURE, BOTH, measures("corpora"),
             f"""firsts AS (SELECT *, row_number() OVER (PARTITION BY {HASH} ORDER BY id) AS copy,
-  {PASSES} AS passes FROM measured JOIN structure USING (id))""",
-            final=stage_counts("firsts", "true", "is_parseable")),
+  {PASSES} AS passes FROM ({BOTH_STRUCTURE}))""",
+            final=stage_counts("firsts", "true", "coalesce(is_parseable, false)")),
         "stage_counts_near": "WITH RECURSIVE " + ",\n".join(
             [*NEAR_TEXTS, f"""firsts AS (SELECT m.*, CASE WHEN u.id IS NULL THEN 2 ELSE 1 END AS copy, {PASSES} AS passes
   FROM measured m LEFT JOIN unique_rows u ON u.id = m.doc_id)""",
              "beaten AS (SELECT id FROM fold WHERE pos > 0 AND NOT kept)"]
         ) + "\n" + stage_counts("firsts", "doc_id NOT IN (SELECT id FROM beaten)", "false"),
-        "overview_metrics": with_ctes(*full, final=f"""SELECT *, {ratio('passed', 'total')} AS pass_rate
+        "overview_metrics": with_ctes(*full, final=f"""SELECT *, {ratio('passed', 'total')} AS pass_rate,
+  {ratio('flagged', 'total')} AS flagged_rate
 FROM (SELECT count(*) AS total, count(*) FILTER (composite_score >= 0.7) AS passed,
   count(DISTINCT content_hash) AS unique_samples, count(*) FILTER (worst > 0) AS flagged FROM scored)"""),
         "score_histogram": with_ctes(*full, final="""SELECT CAST(b AS INTEGER) AS bin, count(composite_score) AS n
@@ -359,7 +402,29 @@ FROM range(50) t(b) LEFT JOIN scored ON least(49, floor(composite_score::DECIMAL
   max(score) AS high, count(*) AS n FROM long WHERE score IS NOT NULL GROUP BY score_type"""),
         "sample_browser": with_ctes(
             *full, final="""SELECT id, composite_score, language, num_lines, is_parseable, content
-FROM scored WHERE composite_score >= 0.7 ORDER BY composite_score DESC, id LIMIT 50"""),
+FROM scored WHERE composite_score >= 0.7"""),
+        "browse_unscored": with_ctes(
+            RENDERED, STRUCTURE, BOTH, measures("corpora"), CLEANED,
+            final="SELECT id, language, num_lines, is_parseable, content FROM cleaned"),
+        "rows_above": with_ctes(*full, final="SELECT count(*) FILTER (composite_score >= 0.7) AS matching FROM scored"),
+        "registered_sources": """SELECT 'the-stack' AS source, text AS content, n_chars AS size,
+  NULL::DOUBLE AS avg_line_length, NULL::BIGINT AS max_line_length, NULL::DOUBLE AS alphanum_fraction,
+  NULL::VARCHAR AS func_documentation_string, NULL::VARCHAR AS repository_name, NULL::VARCHAR AS canonical_solution,
+  NULL::VARCHAR AS test, NULL::VARCHAR AS entry_point FROM documents
+UNION ALL SELECT 'codesearchnet', text, NULL, NULL, NULL, NULL, NULL, source, NULL, NULL, NULL FROM documents
+UNION ALL SELECT 'humaneval', text, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, lang FROM documents""",
+        "two_days": with_ctes(
+            *DAYS, final=f"SELECT id, doc_id, content_hash, num_lines FROM day_firsts WHERE {PASSES}"),
+        "two_days_near": "WITH RECURSIVE " + ",\n".join([
+            *DAYS, *buckets("(SELECT content_hash AS doc_id, content AS text FROM day_firsts)"),
+            MEETING.format(rows="keyed", bands="bands", order="k.id"), kept_fold("meeting", "VARCHAR")]) + f"""
+SELECT id, doc_id, content_hash, num_lines FROM day_firsts
+WHERE {PASSES} AND content_hash NOT IN (SELECT id FROM fold WHERE pos > 0 AND NOT kept)""",
+        "wide_positions": with_ctes(
+            "corpora AS (SELECT doc_id, text AS content FROM documents)", measures("corpora"),
+            final=f"""SELECT printf('documents_text_%06d', doc_id + {WIDE_FROM}) AS id, content_hash FROM (
+  SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) AS copy
+  FROM (SELECT *, {HASH} AS content_hash FROM measured)) WHERE copy = 1 AND {PASSES}"""),
         "language_profile": with_ctes(
             "rows AS (SELECT doc_id AS id, lang AS language, text AS content FROM documents)", measures("rows"),
             final=f"""SELECT language, count(*) AS n, CAST(sum(num_lines) AS BIGINT) AS lines
@@ -373,5 +438,5 @@ def prompt() -> str:
     from corpusq.operators.judge import FENCE, RUBRIC
 
     lead, tail = RUBRIC + FENCE + "\n", "\n" + FENCE
-    return (f"SELECT doc_id AS id, {quoted(lead)} || substr(text, 1, {S.judge_prefix_chars}) || {quoted(tail)}"
+    return (f"SELECT doc_id AS id, {quoted(lead)} || text || {quoted(tail)}"
             " AS prompt FROM documents")

@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusq.catalog.rendered import rendered_corpus
 from corpusq.config import Settings
 from corpusq.operators import dedup, features, judge, scoring
 from corpusq.plans import reports, stages
-from corpusq.plans.rendered import rendered_corpus
-from corpusq.session import fresh_path, prepare, spread
+from corpusq.schemas import scored_schema
+from corpusq.session import fresh_path, prepare
 from corpusq.sources import layers, registry
 from corpusq.sources.registry import SourceSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = datetime(2024, 5, 17, 10, 30, 0, tzinfo=timezone.utc)
 FIRST_N = 500
+SAMPLED = 500
+WIDE_FROM = 999_900
 
 _text, _long, _int = T.StringType(), T.LongType(), T.IntegerType()
 
@@ -37,6 +40,12 @@ TABLE_SOURCES = {
 
 # ---- inputs ---------------------------------------------------------------------------
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The given tables are a file each; a local session deals them to all its cores."""
+    context = df.sparkSession.sparkContext
+    return df.repartition(context.defaultParallelism, key) if context.master.startswith("local[") else df
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -64,6 +73,11 @@ def rendered_measured(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def both_measured(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and rendered code, measured, parsed where they are Python."""
+    return features.add_structure(features.add_text_features(both_corpora(spark, sf)))
+
+
 def both_corpora(spark: SparkSession, sf: str) -> DataFrame:
     return registry.union_by_name(
         [spread(document_records(spark, sf), "id"), spread(rendered_records(spark, sf), "id")]
@@ -72,8 +86,8 @@ def both_corpora(spark: SparkSession, sf: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return registry.union_by_name([
-        stages.transform_rows(document_records(spark, sf), "documents", "text"),
-        stages.transform_rows(rendered_records(spark, sf), "rendered", "python"),
+        stages.transform_rows(spread(document_records(spark, sf), "id"), "documents", "text"),
+        stages.transform_rows(spread(rendered_records(spark, sf), "id"), "rendered", "python"),
     ])
 
 
@@ -94,7 +108,13 @@ def raw_replies(spark: SparkSession, sf: str) -> DataFrame:
         .when(d % 3 == 1, F.concat(F.lit("\n  ```\n"), body, F.lit("\n```\n")))
         .otherwise(body)
     )
-    return table(spark, sf, "labels").select("doc_id", reply.alias("reply"))
+    first = table(spark, sf, "labels").select("doc_id", reply.alias("reply"))
+    # Asked again: a usable answer after one that failed, and a worse mark after a good one.
+    again = table(spark, sf, "labels").filter(d % 22 == 0).select("doc_id", F.concat(
+        F.lit('{"score": '), mark, F.lit(', "reason": "asked again"}')).alias("reply"))
+    worse = table(spark, sf, "labels").filter(d % 23 == 1).select(
+        "doc_id", F.lit('{"score": 1, "reason": "second look"}').alias("reply"))
+    return first.unionByName(again).unionByName(worse)
 
 
 def record_replies(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +139,7 @@ def scored(spark: SparkSession, sf: str, judged: bool = True) -> DataFrame:
 def stored_scored(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "scored")
     layers.write_scored_parquet(scored(spark, sf), path)
-    return layers.read_tree(spark, path)
+    return layers.read_tree(spark, path, scored_schema())
 
 
 # ---- sources and sinks ----------------------------------------------------------------
@@ -167,7 +187,8 @@ def jsonl_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     layers.write_jsonl(
         registry.ingest(registry.read_source(spark, spec, sf, "any"), spec, "mixed", None, RUN_TS), path
     )
-    fields = "id string, content string, ingested_at string, n_chars bigint, size bigint"
+    fields = ("id string, source string, language string, position bigint, content string, "
+              "ingested_at string, doc_id bigint, n_chars bigint, size bigint")
     return spark.read.text(path).select(
         F.from_json("value", fields).alias("r"),
         F.contains("value", F.lit('"size":null')).alias("null_is_explicit"),
@@ -238,11 +259,11 @@ def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 # ---- scores ---------------------------------------------------------------------------
 
 def syntactic_score(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.add_syntactic_score(rendered_measured(spark, sf)).select("id", "syntactic_score")
+    return scoring.add_syntactic_score(both_measured(spark, sf)).select("id", "syntactic_score")
 
 
 def doc_score(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.add_doc_score(rendered_measured(spark, sf)).select("id", "doc_score")
+    return scoring.add_doc_score(both_measured(spark, sf)).select("id", "doc_score")
 
 
 def security_findings(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +283,7 @@ def max_severity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def judge_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return judge.judge_sample(documents(spark, sf))
+    return judge.judge_sample(documents(spark, sf), Settings(judge_sample_size=SAMPLED))
 
 
 def judge_prompt(spark: SparkSession, sf: str) -> DataFrame:
@@ -295,7 +316,7 @@ def threshold_flag(spark: SparkSession, sf: str) -> DataFrame:
 CLEANED = ["id", "source", "language", "content", "content_hash", *MEASURES,
            "is_parseable", "num_functions", "num_classes", "has_docstring"]
 SCORED = ["id", "source", "language", "content_hash", "num_lines", "syntactic_score", "doc_score",
-          "security_score", "security_finding_count", "security_high_count", "llm_score", "llm_reason",
+          "security_score", "security_finding_count", "security_high_count", "security_severity", "llm_score", "llm_reason",
           "composite_score", "above_threshold", "pipeline_version"]
 
 
@@ -304,8 +325,41 @@ def run_transforms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transforms_near(spark: SparkSession, sf: str) -> DataFrame:
-    rows = stages.transform_rows(document_records(spark, sf), "documents", "text", Settings(dedup_near=True))
-    return rows.select("id", "content_hash", *MEASURES)
+    rows = spread(document_records(spark, sf), "id")
+    kept = stages.transform_rows(rows, "documents", "text", Settings(dedup_near=True))
+    return kept.select("id", "content_hash", *MEASURES)
+
+
+def _two_days(spark: SparkSession, sf: str, near: bool) -> DataFrame:
+    """The documents ingested on two days, every second text changed on the later one."""
+    base = fresh_path(spark, "days")
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    spec = SourceSpec("daily", "content", "shards", None, {"doc_id": _long})
+    settings = Settings(source="daily", language="text", dedup_near=near)
+    for day in (0, 1):
+        folders = stages.Folders(f"{base}/source-{day}", f"{base}/data")
+        changed = F.concat("content", F.lit("\nchanged since"))
+        rows = docs.withColumn("content", F.when((F.col("doc_id") % 2 == 1) & F.lit(day == 1), changed).otherwise(F.col("content")))
+        rows.coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{folders.source}/shards")
+        stages.ingest_stage(spark, folders, settings, RUN_TS + timedelta(days=day), spec)
+    cleaned_rows = stages.transform_stage(spark, stages.Folders("", f"{base}/data"), settings, spec)
+    return cleaned_rows.select("id", "doc_id", "content_hash", "num_lines")
+
+
+def two_days(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_days(spark, sf, near=False)
+
+
+def two_days_near(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_days(spark, sf, near=True)
+
+
+def wide_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact dedup where ids grow a digit: the first of equal texts is the first by position."""
+    position = F.col("doc_id") + WIDE_FROM
+    rows = table(spark, sf, "documents").select(
+        registry.record_id("documents", "text", position).alias("id"), position.alias("position"), F.col("text").alias("content"))
+    return stages.transform_rows(spread(rows, "id"), "documents", "text").select("id", "content_hash")
 
 
 def score_stage(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,11 +367,14 @@ def score_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Ingest, transform and score through all layers on disk; the source is rendered code."""
+    """Ingest, transform and score through all layers on disk; the source is rendered code
+    and, after it, the documents' own texts, all taken for Python."""
     base = fresh_path(spark, "run")
-    rendered_records(spark, sf).select("id", "content").orderBy("id").write.parquet(f"{base}/source/shards")
+    code = rendered_records(spark, sf).select(F.lit("rendered").alias("part"), "id", "content")
+    prose = documents(spark, sf).select(F.lit("written").alias("part"), F.format_string("%06d", "id").alias("id"), "content")
+    code.unionByName(prose).coalesce(1).sortWithinPartitions("part", "id").write.parquet(f"{base}/source/shards")
     spec = SourceSpec("rendered", "content", "shards", None, {"size": _long})
-    settings = Settings(source="rendered", language="python", sample_size=None)
+    settings = Settings(source="rendered", language="python")
     folders = stages.Folders(f"{base}/source", f"{base}/data")
     result = stages.run(spark, folders, settings, "all", record_replies(spark, sf), RUN_TS, spec)
     stamp = F.date_format("scored_at", "yyyy-MM-dd'T'HH:mm:ss").alias("scored_at")
@@ -329,7 +386,8 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.stage_counts(spread(rendered_records(spark, sf), "id"), "python")
+    """Counts of a run over both corpora, all texts taken for Python."""
+    return reports.stage_counts(both_corpora(spark, sf).select("id", "content"), "python")
 
 
 def stage_counts_near(spark: SparkSession, sf: str) -> DataFrame:
@@ -338,7 +396,7 @@ def stage_counts_near(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def overview_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.overview_metrics(scoring.add_max_severity(scored(spark, sf)))
+    return reports.overview_metrics(stored_scored(spark, sf))
 
 
 def score_histogram(spark: SparkSession, sf: str) -> DataFrame:
@@ -353,6 +411,34 @@ def sample_browser(spark: SparkSession, sf: str) -> DataFrame:
     return reports.sample_browser(stored_scored(spark, sf))
 
 
+def browse_unscored(spark: SparkSession, sf: str) -> DataFrame:
+    """The browser over a layer that has no composite yet."""
+    return reports.sample_browser(stored_cleaned(spark, sf))
+
+
+def rows_above(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.rows_above(scored(spark, sf))
+
+
+def registered_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """All registered layouts, scanned: documents laid out as each source lays out its files."""
+    root = fresh_path(spark, "sources")
+    docs = table(spark, sf, "documents")
+    frames = []
+    for spec in registry.SOURCES.values():
+        given = {"size": F.col("n_chars"), "entry_point": F.col("lang"), "repository_name": F.col("source")}
+        shaped = docs.select(F.col("text").alias(spec.content_field), *(
+            given[name].cast(kind).alias(name) for name, kind in spec.extras.items() if name in given))
+        for language in ("python", "other"):
+            part = shaped if language == "python" else shaped.limit(1)
+            folder = spec.path(f"{root}/{spec.name}", language).replace("*", "00000")
+            if language == "python" or "{language}" in spec.layout:
+                part.write.parquet(folder)
+        df = registry.read_source(spark, spec, f"{root}/{spec.name}", "python")
+        frames.append(df.select(F.lit(spec.name).alias("source"), *(c.alias(n) for n, c in registry.map_fields(df, spec).items())))
+    return registry.union_by_name(frames)
+
+
 def language_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Kept documents per language: hash, first copy, measures and cut-offs in one plan."""
     rows = table(spark, sf, "documents").select(
@@ -369,7 +455,8 @@ NAMES = [
     security_findings, security_score, max_severity, judge_sample, judge_prompt, judge_parse, judge_attach,
     composite_no_judge, composite_with_judge, threshold_flag, run_transforms, transforms_near, score_stage,
     full_run, run_summary, stage_counts, stage_counts_near, overview_metrics, score_histogram, score_distribution,
-    sample_browser, language_profile,
+    sample_browser, browse_unscored, rows_above, registered_sources, two_days, two_days_near, wide_positions,
+    language_profile,
 ]
 
 

@@ -20,7 +20,7 @@ class Settings:
     # ingestion
     source: str = "the-stack"
     language: str = "python"
-    sample_size: int | None = 1000
+    sample_size: int | None = None  # None takes every row
     # near-duplicate removal
     dedup_near: bool = False
     minhash_threshold: float = 0.8
@@ -33,9 +33,9 @@ class Settings:
     # scoring
     weights: dict[str, Decimal] = field(default_factory=lambda: dict(DEFAULT_WEIGHTS))
     quality_threshold: Decimal = Decimal("0.70")
-    judge_sample_size: int = 500
+    judge_sample_size: int | None = None  # rows to ask about; None asks about all
     judge_seed: int = 42
-    judge_prefix_chars: int = 2000
+    judge_prefix_chars: int | None = None  # characters a prompt quotes; None quotes the whole text
     version: str = "v0.1.0"
 
     def __post_init__(self) -> None:

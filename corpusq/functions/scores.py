@@ -22,6 +22,7 @@ def _points_to_score(points: Column) -> Column:
 def syntactic(is_parseable: Column, num_lines: Column, avg_line_length: Column,
               alphanum_fraction: Column, num_functions: Column, num_classes: Column) -> Column:
     """0 if unparseable, else 1 less penalties for short, wide or symbol-heavy text."""
+    # Points and limits of the score.
     points = (
         F.lit(100)
         - F.when(num_lines < 10, 15).otherwise(0)
@@ -34,6 +35,7 @@ def syntactic(is_parseable: Column, num_lines: Column, avg_line_length: Column,
 
 def documentation(has_docstring: Column, comment_ratio: Column, num_functions: Column) -> Column:
     """Credit for a module docstring and for comment lines, a fine for many bare functions."""
+    # Points and limits of the score.
     bare = (num_functions >= 3) & ~F.coalesce(has_docstring, F.lit(False))
     points = (
         F.when(has_docstring, 50).otherwise(0)

@@ -74,28 +74,37 @@ def _holds(text: Column, rule: Rule) -> Column:
     return reduce(or_, [F.contains(text, F.lit(n)) for n in rule.needles])
 
 
-def _hit(line: Column, number: Column, rule: Rule) -> Column:
+def _hit(line: Column, rule: Rule) -> Column:
     found = _holds(line, rule) & line.rlike(rule.pattern)
-    if rule.unless:
-        found = found & ~F.contains(line, F.lit(rule.unless))
-    return F.when(
-        found,
-        F.struct(F.lit(rule.severity).alias("severity"), F.lit(rule.text).alias("text"),
-                 number.alias("line")),
-    )
+    return found & ~F.contains(line, F.lit(rule.unless)) if rule.unless else found
 
 
 def findings(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """All (severity, text, line) hits in line order, then rule order; null text gives null."""
+    """All (severity, text, line) hits in line order, then rule order; null text gives null.
+
+    Each rule is gated by a byte search of the whole text, and only rules that pass it look
+    at lines. Texts that no rule passes are not even cut into lines.
+    """
+    kind = f"array<{FINDING.simpleString()}>"
+    none = F.array().cast(kind)
     suspect = reduce(or_, [_holds(text, r) for r in rules])
-    by_line = F.transform(
-        F.split(text, LINE_BREAK, -1),
-        lambda line, i: F.array_compact(
-            F.array(*[_hit(line, (i + 1).cast("int"), r) for r in rules])
-        ),
-    )
-    none = F.array().cast(f"array<{FINDING.simpleString()}>")
-    return F.when(suspect, F.flatten(by_line)).otherwise(F.when(text.isNotNull(), none))
+
+    def of_lines(lines: Column) -> Column:
+        def hits(place: int, rule: Rule) -> Column:
+            at = F.transform(lines, lambda line, i: F.when(_hit(line, rule), F.struct(
+                (i + 1).cast("int").alias("line"), F.lit(place).alias("rule"))))
+            return F.when(_holds(text, rule), F.array_compact(at))
+
+        by_rule = [hits(place, rule) for place, rule in enumerate(rules)]
+        found = F.array_sort(F.flatten(F.array_compact(F.array(*by_rule))))
+        named = F.array(*(F.struct(F.lit(r.severity).alias("severity"), F.lit(r.text).alias("text")) for r in rules))
+        return F.transform(found, lambda f: F.struct(
+            F.get(named, f["rule"])["severity"].alias("severity"),
+            F.get(named, f["rule"])["text"].alias("text"), f["line"].alias("line"))).cast(kind)
+
+    # The lines are bound once; an expression would be repeated for every rule.
+    split = F.element_at(F.transform(F.array(F.split(text, LINE_BREAK, -1)), of_lines), 1)
+    return F.when(suspect, split).otherwise(F.when(text.isNotNull(), none))
 
 
 def count_severity(found: Column, severity: str) -> Column:

@@ -8,37 +8,35 @@ being moved to one place (see ``attach``).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.config import Settings
 from corpusq.functions import minhash
 from corpusq.functions import text as tx
-from corpusq.session import ship_package, spread, written
+from corpusq.session import Scratch, ship_package, written
 
 # A bucket above this many members is joined by broadcast instead of by shuffle.
 HOT_MEMBERS = 100_000
 # Most hot buckets there can be; the floor rises with the input to keep it so.
 MAX_HOT_BUCKETS = 50_000
-# Once no more rows than this are open, one task folds them in order.
-FINISH_ROWS = 20_000
+# How near-duplicate removal orders rows: by a seeded hash of the id, or by the id itself.
+ORDERS = ("hashed", "arrival")
 
 
 def add_content_hash(df: DataFrame, content_col: str = "content") -> DataFrame:
     return df.withColumn("content_hash", tx.content_hash(F.col(content_col)))
 
 
-def first_per(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """The row with the lowest ``order_col`` of each ``key``.
+def first_per(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """The first row of each ``key`` in the order of the given columns.
 
     Filtering a row number to 1 makes Spark keep one row per key in every map task
     before the shuffle, so copies of a text are dropped where they are read.
     """
-    w = Window.partitionBy(key).orderBy(order_col)
+    w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -113,51 +111,66 @@ def near_duplicate_lookup(df: DataFrame, content_col: str = "content", id_col: s
 
 
 def _bucket_rows(df: DataFrame, content_col: str, id_col: str, settings: Settings) -> DataFrame:
-    source = spread(df.select(F.col(id_col).alias("id"), F.col(content_col).alias("content")), "id")
+    source = df.select(F.col(id_col).alias("id"), F.col(content_col).alias("content"))
     return add_bucket_keys(source, "content", "id", settings).select("id", F.col("_buckets").alias("buckets"))
 
 
+def order_key(id_col: Column, order: str = "hashed", seed: int = 42) -> Column:
+    """What near-duplicate removal takes as a row's place. Hashed places make the number of
+    rounds logarithmic, whatever chains of versions the ids of a corpus follow."""
+    if order not in ORDERS:
+        raise ValueError(f"unknown order {order!r}, known are {ORDERS}")
+    if order == "arrival":
+        return id_col
+    text = id_col.cast("string")
+    return F.concat(F.md5(F.concat(F.lit(f"{seed}:"), text)), F.lit(":"), text)
+
+
 def near_deduplicate(df: DataFrame, content_col: str = "content", id_col: str = "id",
-                     settings: Settings = Settings()) -> DataFrame:
-    """Keep a row, in order of ``id_col``, unless it shares a band with an earlier kept row."""
-    kept = keep_first(_bucket_rows(df, content_col, id_col, settings))
-    return df.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi")
+                     settings: Settings = Settings(), order: str = "hashed") -> DataFrame:
+    """Keep a row, in the given order, unless it shares a band with an earlier kept row.
 
+    Ids must be unique and not null."""
+    rows = _bucket_rows(df, content_col, id_col, settings)
+    kept = keep_first(rows.withColumn("id", order_key(F.col("id"), order)))
+    place = order_key(F.col(id_col), order)
+    return df.withColumn("_place", place).join(kept.withColumnRenamed("id", "_place"), "_place", "left_semi").drop("_place")
 
-def keep_first(rows: DataFrame, hot_members: int = HOT_MEMBERS, finish_rows: int = FINISH_ROWS) -> DataFrame:
-    """Ids kept by the first-come rule over (id, buckets); ids must be unique.
+
+def keep_first(rows: DataFrame, hot_members: int = HOT_MEMBERS) -> DataFrame:
+    """Ids kept by the first-come rule over (id, buckets), in the order of ids; ids must be unique.
 
     The rule is sequential: a row is kept iff none of its buckets holds an earlier
     kept row. It is evaluated in rounds instead. A row that is first among the
     open rows of all its buckets is kept, since every earlier neighbour has been
     dropped; its neighbours are dropped; both leave. Each round settles at least
-    the first open row of every connected group, most settle all in one or two.
+    the first open row of every connected group; with ids in hashed order the
+    number of rounds grows with the logarithm of the rows. The rounds' tables are
+    removed once the kept ids are written.
     """
+    scratch = Scratch(rows.sparkSession, "near-rounds")
     # Rows in identical buckets share their fate with the first of them: whatever
     # keeps or drops it drops them. Copies thus vanish in one combining grouping.
-    heads = written(rows.groupBy("buckets").agg(F.min("id").alias("id")), "heads")
+    heads = scratch.written(rows.groupBy("buckets").agg(F.min("id").alias("id")))
     all_members = _members(heads)
     member_rows = heads.select(F.sum(F.size("buckets"))).first()[0] or 0
     floor = hot_floor(member_rows, hot_members)
 
     # Only rows that meet another row need deciding, and only in shared buckets.
-    shared = written(_sizes(all_members).filter(F.col("n") > 1).drop("first"), "shared")
-    open_rows = written(
-        attach(all_members, shared, floor).groupBy("id").agg(F.collect_list("bucket").alias("buckets")),
-        "open",
-    )
+    shared = scratch.written(_sizes(all_members).filter(F.col("n") > 1).drop("first"))
+    open_rows = scratch.written(
+        attach(all_members, shared, floor).groupBy("id").agg(F.collect_list("bucket").alias("buckets")))
     dropped: list[DataFrame] = []
-    while (left := open_rows.count()) > 0:
-        if left <= finish_rows:
-            dropped.append(written(_fold_in_order(open_rows), "dropped"))
-            break
-        settled = written(_settle(open_rows, floor), "round")
+    while open_rows.count() > 0:
+        settled = scratch.written(_settle(open_rows, floor))
         dropped.append(settled.filter("status = 'dropped'").select("id"))
         open_rows = settled.filter("status = 'open'").select("id", "buckets")
 
     kept = heads.select("id")
     if dropped:
         kept = kept.join(reduce(DataFrame.unionByName, dropped), "id", "left_anti")
+    kept = written(kept, "kept")
+    scratch.remove()
     return kept
 
 
@@ -181,22 +194,3 @@ def _settle(open_rows: DataFrame, floor: int) -> DataFrame:
         "id", "buckets",
         F.when(F.col("is_kept"), "kept").when(F.col("is_beaten"), "dropped").otherwise("open").alias("status"),
     )
-
-
-def _fold_in_order(open_rows: DataFrame) -> DataFrame:
-    """The first-come rule itself, in one task, over a remainder of checked size."""
-    id_type = open_rows.schema["id"].dataType
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        taken: set[str] = set()
-        for batch in batches:
-            beaten = []
-            for i, buckets in enumerate(batch.column("buckets").to_pylist()):
-                if taken.isdisjoint(buckets):
-                    taken.update(buckets)
-                else:
-                    beaten.append(i)
-            yield batch.select(["id"]).take(pa.array(beaten, type=pa.int64()))
-
-    ordered = open_rows.select("id", "buckets").repartition(1).sortWithinPartitions("id")
-    return ordered.mapInArrow(fold, f"id {id_type.simpleString()}")

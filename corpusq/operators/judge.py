@@ -12,40 +12,29 @@ from pyspark.sql import functions as F
 from corpusq.config import Settings
 from corpusq.functions import text as tx
 
-# A sample up to this many rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 100_000
-
 RUBRIC = (
-    "How useful is the code below as an example to learn from? Give one mark:\n"
-    "5 outstanding: clear, documented, shows good practice\n"
-    "4 good: correct and readable, some documentation\n"
-    "3 fair: it works, but teaches little\n"
-    "2 weak: hard to follow\n"
-    "1 unusable: broken, obfuscated or harmful\n\n"
-    'Reply with one JSON object and nothing else: {"score": 1-5, "reason": "one sentence", "flags": []}\n\n'
+    "You review source files for a beginners' programming course. Read the file between the fences and decide\n"
+    "whether a tutor should hand it out. Weigh, in this order: does it run as it stands; can a newcomer follow\n"
+    "it without outside help; is each name and comment true to what happens; would copying it do harm.\n\n"
+    "Answer on a scale of 1 (never hand out) to 5 (hand out as a model), as JSON with the keys score and reason,\n"
+    "the reason in a few words. Write nothing around it.\n\n"
 )
 FENCE = "```"
 
 
-def bounded(ids: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table of at most ``rows`` rows if that is few enough."""
-    return F.broadcast(ids) if rows <= BROADCAST_ROWS else ids
-
-
 def judge_sample_ids(df: DataFrame, settings: Settings = Settings(), id_col: str = "id") -> DataFrame:
-    """Ids of exactly min(n, rows) rows, drawn uniformly without replacement.
+    """Ids of exactly min(n, rows) rows, drawn uniformly without replacement; of all without n.
 
     A seeded hash of the id orders the rows, so the draw does not depend on
-    partitioning. Only the narrow id column takes part. A sample too large to pass
-    through one task is ranked within hash ranges instead of by one top-n.
+    partitioning. Only the narrow id column takes part, ranked within hash ranges, so
+    that no size of the sample passes through one task.
     """
     n = settings.judge_sample_size
+    if n is None:
+        return df.select(id_col)
     key = F.md5(F.concat_ws(":", F.lit(str(settings.judge_seed)), F.col(id_col).cast("string")))
-    drawn = df.select(id_col, key.alias("_draw"))
-    if n <= BROADCAST_ROWS:
-        return drawn.orderBy("_draw", id_col).limit(n).select(id_col)
     # 65,536 ranges of even size, as the hash is uniform; their counts are one small table.
-    ranged = drawn.withColumn("_range", F.substring("_draw", 1, 4))
+    ranged = df.select(id_col, key.alias("_draw"), F.substring(key, 1, 4).alias("_range"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
@@ -54,24 +43,26 @@ def judge_sample_ids(df: DataFrame, settings: Settings = Settings(), id_col: str
     )
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_draw", id_col))
     return (
-        ranged.join(F.broadcast(starts), "_range").withColumn("_place", F.col("_before") + place)
+        ranged.join(starts, "_range").withColumn("_place", F.col("_before") + place)
         .filter(F.col("_place") <= n).select(id_col)
     )
 
 
 def judge_sample(df: DataFrame, settings: Settings = Settings(), id_col: str = "id") -> DataFrame:
     """The sampled rows with all their columns."""
-    ids = judge_sample_ids(df, settings, id_col)
-    return df.join(bounded(ids, settings.judge_sample_size), id_col, "left_semi")
+    if settings.judge_sample_size is None:
+        return df
+    return df.join(judge_sample_ids(df, settings, id_col), id_col, "left_semi")
 
 
 def judge_prompts(df: DataFrame, settings: Settings = Settings(), id_col: str = "id",
                   content_col: str = "content") -> DataFrame:
-    """(id, prompt) per sampled row; the prompt quotes the opening characters of the text."""
-    opening = F.substring(content_col, 1, settings.judge_prefix_chars)
+    """(id, prompt) per row; the prompt quotes the text, or its opening characters if so set."""
+    cut = settings.judge_prefix_chars
+    quoted = F.col(content_col) if cut is None else F.substring(content_col, 1, cut)
     return df.select(
         id_col,
-        F.concat(F.lit(RUBRIC + FENCE + "\n"), opening, F.lit("\n" + FENCE)).alias("prompt"),
+        F.concat(F.lit(RUBRIC + FENCE + "\n"), quoted, F.lit("\n" + FENCE)).alias("prompt"),
     )
 
 
@@ -106,21 +97,21 @@ def parse_replies(df: DataFrame, reply_col: str = "reply") -> DataFrame:
 
 def attach_judgements(df: DataFrame, replies: DataFrame | None, settings: Settings = Settings(),
                       id_col: str = "id") -> DataFrame:
-    """Left-join parsed replies to the sampled rows; every other row stays unjudged.
+    """Left-join parsed replies to their rows; rows without a reply stay unjudged.
 
-    ``replies`` holds (id, reply). Of several replies to one row the lowest counts.
+    ``replies`` holds (id, reply), and each of them counts: the sample decides what to ask,
+    not which answers are heard. Of several replies to one row the usable one with the
+    lowest mark counts, so a failed reply never cancels a good one.
     Without a table of replies no row is judged.
     """
     df = df.drop("llm_score", "llm_reason")
     if replies is None:
         return df.withColumns({"llm_score": F.lit(None).cast("double"),
                                "llm_reason": F.lit(None).cast("string")})
-    n = settings.judge_sample_size
-    asked = judge_sample_ids(df, settings, id_col)
+    score, reason = F.col("llm_score"), F.col("llm_reason")
+    mark = F.struct(score.isNull().alias("unusable"), score, reason.isNull().alias("unread"), reason)
     marks = (
-        parse_replies(replies.select(id_col, "reply").join(bounded(asked, n), id_col, "left_semi"))
-        .groupBy(id_col).agg(F.min(F.struct("llm_score", "llm_reason")).alias("_mark"))
+        parse_replies(replies.select(id_col, "reply")).groupBy(id_col).agg(F.min(mark).alias("_mark"))
         .select(id_col, "_mark.llm_score", "_mark.llm_reason")
     )
-    # One row per sampled id at most, so the sample size bounds the broadcast.
-    return df.join(bounded(marks, n), id_col, "left")
+    return df.join(marks, id_col, "left")

@@ -5,13 +5,11 @@ Every report aggregates map-side and returns a handful of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusq.config import Settings
-from corpusq.operators import dedup, features
-from corpusq.operators.judge import bounded
-from corpusq.session import written
+from corpusq.plans import stages
 
 # The columns the reports look for.
 SCORE_COLUMNS = ("syntactic_score", "doc_score", "security_score", "llm_score")
@@ -38,16 +36,23 @@ def run_summary(scored: DataFrame) -> DataFrame:
 
 
 def overview_metrics(scored: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Total, passed and distinct texts; rows with a finding of any severity where known."""
+    """Total, passed and distinct texts; rows with a finding of any severity, and their share."""
     threshold = F.lit(float(settings.quality_threshold))
     aggregates = [
         F.count("*").alias("total"),
         F.count_if(F.col("composite_score") >= threshold).alias("passed"),
         F.countDistinct("content_hash").alias("unique_samples"),
     ]
+    shares = {"pass_rate": "passed"}
     if "security_severity" in scored.columns:
         aggregates.append(F.count_if(F.col("security_severity") != "NONE").alias("flagged"))
-    return _with_ratios(scored.agg(*aggregates), "total", pass_rate="passed")
+        shares["flagged_rate"] = "flagged"
+    return _with_ratios(scored.agg(*aggregates), "total", **shares)
+
+
+def rows_above(scored: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """How many rows the browser has to show at a threshold."""
+    return scored.agg(F.count_if(F.col("composite_score") >= threshold).alias("matching"))
 
 
 def score_histogram(scored: DataFrame, bins: int = 50) -> DataFrame:
@@ -81,61 +86,44 @@ def score_distribution(scored: DataFrame) -> DataFrame:
     )
 
 
-def sample_browser(scored: DataFrame, threshold: float = 0.7, rows: int = 50, id_col: str = "id") -> DataFrame:
-    """The best ``rows`` rows at or above a composite, as those browse columns that exist.
+def sample_browser(scored: DataFrame, threshold: float = 0.7, rows: int | None = None, id_col: str = "id") -> DataFrame:
+    """Rows at or above a composite, best first, as those browse columns that exist; the best
+    ``rows`` of them if given. Without a composite column, all rows in order of id.
 
-    ``scored`` should be the stored table. The top-n runs over (composite, id)
-    alone, and only the few winners' texts are fetched.
+    ``scored`` should be the stored table. A top-n runs over (composite, id) alone and the
+    winners' texts are fetched afterwards.
     """
     columns = [c for c in BROWSE_COLUMNS if c in scored.columns]
-    order = [F.col("composite_score").desc(), F.col(id_col)]
-    best = (
-        scored.select("composite_score", id_col).filter(F.col("composite_score") >= threshold)
-        .orderBy(*order).limit(rows).select(id_col)
-    )
-    shown = scored.filter(F.col("composite_score") >= threshold).join(bounded(best, rows), id_col, "left_semi")
-    return shown.orderBy(*order).limit(rows).select(id_col, *columns)
+    order = [F.col(id_col)]
+    shown = scored
+    if "composite_score" in scored.columns:
+        order = [F.col("composite_score").desc(), *order]
+        shown = scored.filter(F.col("composite_score") >= threshold)
+    if rows is not None:
+        narrow = [id_col, *(c for c in ("composite_score",) if c in scored.columns)]
+        best = shown.select(*narrow).orderBy(*order).limit(rows).select(id_col)
+        return shown.join(best, id_col, "left_semi").orderBy(*order).limit(rows).select(id_col, *columns)
+    return shown.orderBy(*order).select(id_col, *columns)
 
 
 def stage_counts(raw: DataFrame, language: str, settings: Settings = Settings()) -> DataFrame:
     """Rows left and share removed after exact dedup, near dedup (where switched on) and
-    the cut-offs, and rows that parse.
+    the cut-offs, and rows that parse, as a run over ``raw`` counts them."""
+    counts = stages.StageCounts()
+    cleaned = stages.transform_rows(raw, "counted", language, settings, counts)
+    cleaned.write.format("noop").mode("overwrite").save()
+    return counts_table(raw.sparkSession, counts)
 
-    Each text is measured where it is read; then one narrow row per distinct text is
-    kept, with the number of its copies.
-    """
-    measured = features.add_text_features(dedup.add_content_hash(raw))
-    keys = []
-    if settings.dedup_near:
-        measured = dedup.add_bucket_keys(measured, "content", "id", settings)
-        keys = [F.col("_buckets").alias("buckets")]
-    passes = F.coalesce(features.passes_cutoffs(settings), F.lit(False))
-    parsed = features.add_structure(
-        measured.withColumn("_passes", passes).withColumn("content", F.when(F.col("_passes"), F.col("content"))),
-        language,
-    )
-    outcome = F.struct(F.col("id"), F.col("_passes").alias("passes"),
-                       (F.col("_passes") & F.coalesce("is_parseable", F.lit(False))).alias("parses"), *keys)
-    texts = parsed.groupBy("content_hash").agg(F.count("*").alias("copies"), F.min(outcome).alias("first"))
-    texts = texts.select("copies", "first.*")
-    if settings.dedup_near:
-        texts = written(texts, "texts")
-        kept = dedup.keep_first(texts.select("id", "buckets")).withColumn("_kept", F.lit(True))
-        texts = texts.join(kept, "id", "left").withColumn("near", F.coalesce("_kept", F.lit(False)))
-    else:
-        texts = texts.withColumn("near", F.lit(True))
-    counts = texts.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
-        F.count("*").alias("unique_rows"),
-        F.count_if("near").alias("near_rows"),
-        F.count_if(F.col("near") & F.col("passes")).alias("kept_rows"),
-        F.count_if(F.col("near") & F.col("parses")).alias("parseable_rows"),
-    )
+
+def counts_table(spark: SparkSession, counts: stages.StageCounts) -> DataFrame:
+    """A run's counts with the share that each step removed."""
+    seen = counts.get()
+    table = spark.createDataFrame([tuple(seen.values())], ", ".join(f"{name} bigint" for name in seen))
 
     def removed(left: str, before: str) -> Column:
         return _ratio(F.col(before) - F.col(left), F.col(before))
 
-    return counts.withColumns(
+    return table.withColumns(
         {
             "duplicate_rate": removed("unique_rows", "raw_rows"),
             "near_duplicate_rate": removed("near_rows", "unique_rows"),

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 RAW_FIELDS = [
     T.StructField("id", T.StringType()),
+    T.StructField("position", T.LongType()),
     T.StructField("content", T.StringType()),
     T.StructField("ingested_at", T.TimestampType()),
 ]
@@ -48,6 +49,7 @@ SCORED_FIELDS = [
     T.StructField("security_findings", T.ArrayType(FINDING)),
     T.StructField("security_finding_count", T.LongType()),
     T.StructField("security_high_count", T.LongType()),
+    T.StructField("security_severity", T.StringType()),
     T.StructField("llm_score", T.DoubleType()),
     T.StructField("llm_reason", T.StringType()),
     T.StructField("composite_score", T.DoubleType()),
@@ -63,11 +65,13 @@ def raw_schema(extras: dict[str, T.DataType] | None = None) -> T.StructType:
     return T.StructType(RAW_FIELDS + extra_fields + RAW_PARTITION_FIELDS)
 
 
-def cleaned_schema() -> T.StructType:
-    """Cleaned layer without source extras; the partition columns come last."""
-    return T.StructType(RAW_FIELDS + CLEANED_FIELDS + RAW_PARTITION_FIELDS[:2])
+def cleaned_schema(extras: dict[str, T.DataType] | None = None) -> T.StructType:
+    """Cleaned layer with sources' extras; the partition columns come last."""
+    measured = {f.name for f in CLEANED_FIELDS}  # these replace a source's own figures
+    extra_fields = [T.StructField(name, kind) for name, kind in (extras or {}).items() if name not in measured]
+    return T.StructType(RAW_FIELDS + extra_fields + CLEANED_FIELDS + RAW_PARTITION_FIELDS[:2])
 
 
-def scored_schema() -> T.StructType:
+def scored_schema(extras: dict[str, T.DataType] | None = None) -> T.StructType:
     """Scored layer: the cleaned columns, then the scores and stamps."""
-    return T.StructType(list(cleaned_schema()) + SCORED_FIELDS)
+    return T.StructType(list(cleaned_schema(extras)) + SCORED_FIELDS)

@@ -51,19 +51,29 @@ def shared_dir(spark: SparkSession) -> str:
     the same setting); a cluster session is refused, since no machine-local
     folder would outlive an executor.
     """
+    local = spark.sparkContext.master.startswith("local")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not local and _is_temporary(configured):
+            raise ValueError(f"spark.checkpoint.dir {configured} is a temporary folder of one machine")
         return configured.rstrip("/")
     already = spark.sparkContext.getCheckpointDir()
     if already:
         return already.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="corpusq-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _is_temporary(path: str) -> bool:
+    scheme, colon, rest = path.partition(":")
+    local_path = rest if colon and scheme == "file" else "" if colon else path
+    folder = "/" + local_path.lstrip("/") if local_path else ""
+    return any(folder.startswith(f"{t}/") or folder == t for t in {"/tmp", "/var/tmp", tempfile.gettempdir()})
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used yet."""
     return f"{shared_dir(spark)}/corpusq/{name}-{uuid.uuid4().hex}"
@@ -81,18 +91,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# A session with more cores than this is a cluster whose inputs fill it anyway.
-SPREAD_CORES = 256
+class Scratch:
+    """Tables of one loop, removed together once what follows no longer reads them."""
 
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.count = spark, fresh_path(spark, name), 0
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a small input over all cores before CPU-heavy row work.
+    def written(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.path}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    A few small files would otherwise run as a task or two. An input of many files,
-    or any input on a large cluster, passes through untouched: nothing is shuffled
-    at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > SPREAD_CORES or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)
+    def remove(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusq.schemas import raw_schema
-from corpusq.sources.registry import SourceSpec
+from corpusq.schemas import cleaned_schema, raw_schema
+from corpusq.sources.registry import SOURCES, SourceSpec
 
 RAW_KEYS = ("source", "language", "date")
 CLEANED_KEYS = ("source", "language")
@@ -45,23 +45,34 @@ def read_raw(spark: SparkSession, path: str, spec: SourceSpec, language: str) ->
     )
 
 
+def known_extras(spec: SourceSpec | None = None) -> dict[str, T.DataType]:
+    """The extra columns of all registered sources, and of ``spec``."""
+    specs = [*SOURCES.values(), *([spec] if spec else [])]
+    return {name: kind for s in specs for name, kind in s.extras.items()}
+
+
 def write_cleaned(df: DataFrame, path: str, balance: bool = False) -> None:
     write_partitioned(df, path, CLEANED_KEYS, balance)
 
 
-def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
-    """Every cleaned file, columns united by name. A missing or empty folder raises."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
-    if all(isinstance(f.dataType, T.StringType) for f in df.schema if f.name in CLEANED_KEYS):
-        return df
-    # A key such as "007" was taken for a number: read again with the keys as text.
-    fields = [T.StructField(f.name, T.StringType()) if f.name in CLEANED_KEYS else f for f in df.schema]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+def read_cleaned(spark: SparkSession, path: str, spec: SourceSpec | None = None) -> DataFrame:
+    """Every cleaned file, columns united by name. A missing or empty folder raises.
 
-
-def read_tree(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file at any depth, directory names ignored."""
-    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
+    The layer's schema is known, so no file is opened to find it, and directory keys stay
+    text; ``spec`` adds the extras of a source that is not registered.
+    """
+    schema = cleaned_schema(known_extras(spec))
+    df = spark.read.schema(schema).parquet(path)
+    if not df.inputFiles():
+        raise ValueError(f"no cleaned files in {path}")
+    return df
+
+
+def read_tree(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Every Parquet file at any depth, directory names ignored; without a schema all files
+    are opened to unite their columns."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    return (reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(path)
 
 
 def write_scored_parquet(df: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,12 +13,6 @@ from pyspark.sql import types as T
 
 from corpusq.session import written
 
-# File offsets for up to this many files are broadcast; beyond it they are joined by shuffle.
-BROADCAST_FILES = 200_000
-# Up to this many files are named in a pruning filter of a first-n read.
-PRUNED_FILES = 1_000
-
-
 @dataclass(frozen=True)
 class SourceSpec:
     """How one source is laid out on disk and which of its columns mean what.
@@ -91,6 +86,8 @@ def with_position(df: DataFrame, n: int | None = None) -> DataFrame:
     row per file. With ``n`` given only the first n rows are kept and the
     files beyond them are not opened again.
     """
+    if n is not None:
+        df = df.filter(_in_files(_first_files(df, n)))
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"),
                        F.col("_metadata.row_index").alias("_row"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,17 +96,28 @@ def with_position(df: DataFrame, n: int | None = None) -> DataFrame:
         .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")),
         "starts",
     )
-    if n is not None:
-        starts = starts.filter(F.col("_start") < n)
-        needed = [r["_file"] for r in starts.select("_file").limit(PRUNED_FILES + 1).collect()]
-        if len(needed) <= PRUNED_FILES:
-            placed = placed.filter(F.col("_metadata.file_path").isin(needed))
-    few_files = starts.count() <= BROADCAST_FILES
-    joined = placed.join(F.broadcast(starts) if few_files else starts, "_file")
-    positioned = joined.withColumn("position", F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
+    positioned = placed.join(starts, "_file").withColumn("position", F.col("_start") + F.col("_row")).drop(
+        "_file", "_row", "_start")
     return positioned if n is None else positioned.filter(F.col("position") < n)
 
 
+def _in_files(names: list[str]) -> Column:
+    """Rows of the named files; the listing and the scan may spell a path differently."""
+    spelt = {form for n in names for form in (n, unquote(n))}
+    return F.col("_metadata.file_path").isin(sorted(spelt | {n.replace("file:///", "file:/") for n in spelt}))
+
+
+def _first_files(df: DataFrame, n: int) -> list[str]:
+    """The files, in name order, that hold the first ``n`` rows, found by counting growing
+    groups of files; files beyond them are not opened."""
+    names = sorted(set(df.inputFiles()))
+    taken, group, rows = 0, 1, 0
+    while rows < n and taken < len(names):
+        rows += df.filter(_in_files(names[taken:taken + group])).count()
+        taken, group = taken + group, group * 2
+    return names[:taken]
+
+
 def record_id(source: str, language: str, position: Column) -> Column:
     """``{source}_{language}_`` and the position, zero-padded to six digits or longer."""
     return F.concat(F.lit(f"{source}_{language}_"), F.format_string("%06d", position))
@@ -123,6 +131,7 @@ def ingest(df: DataFrame, spec: SourceSpec, language: str, n: int | None,
     mapped = map_fields(df, spec)
     return rows.select(
         record_id(spec.name, language, F.col("position")).alias("id"),
+        F.col("position"),
         F.lit(spec.name).alias("source"),
         F.lit(language).alias("language"),
         mapped.pop("content").alias("content"),
