@@ -111,11 +111,15 @@ def _first_files(df: DataFrame, n: int) -> list[str]:
     """The files, in name order, that hold the first ``n`` rows, found by counting growing
     groups of files; files beyond them are not opened."""
     names = sorted(set(df.inputFiles()))
-    taken, group, rows = 0, 1, 0
+    taken, group, rows, needed = 0, 1, 0, []
     while rows < n and taken < len(names):
-        rows += df.filter(_in_files(names[taken:taken + group])).count()
+        counts = df.filter(_in_files(names[taken:taken + group])).groupBy("_metadata.file_path").count()
+        for path, count in sorted(tuple(r) for r in counts.collect()):  # a row per file of the group
+            if rows < n:
+                needed.append(path)
+            rows += count
         taken, group = taken + group, group * 2
-    return names[:taken]
+    return needed
 
 
 def record_id(source: str, language: str, position: Column) -> Column:

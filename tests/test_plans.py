@@ -35,3 +35,7 @@ def test_shared_folder_is_required_on_a_cluster(monkeypatch):
         session.shared_dir(bare)
     bare.conf.get = lambda key, default=None: "hdfs:///shared/"
     assert session.shared_dir(bare) == "hdfs:///shared"
+    for local in ("/tmp/checkpoints", "file:///tmp/x", "file:/var/tmp"):
+        bare.conf.get = lambda key, default=None, local=local: local
+        with pytest.raises(ValueError, match="temporary"):
+            session.shared_dir(bare)

@@ -7,66 +7,58 @@ from pyspark.sql import functions as F
 from corpusq.config import DEFAULT_WEIGHTS, Settings
 from corpusq.operators import scoring
 
-SCHEMA = ("is_parseable boolean, num_lines int, avg_line_length double, alphanum_fraction double, "
-          "num_functions bigint, num_classes bigint, has_docstring boolean, comment_ratio double, "
-          "syntactic_score double, doc_score double, security_score double, llm_score double")
-DEFAULTS = dict(is_parseable=True, num_lines=20, avg_line_length=40.0, alphanum_fraction=0.60, num_functions=2,
-                num_classes=0, has_docstring=False, comment_ratio=0.0, syntactic_score=0.9, doc_score=0.5,
-                security_score=1.0, llm_score=None)
+# A row that no rule fines, and that documentation rules neither reward nor fine.
+PLAIN = {
+    "num_functions": ("bigint", 1), "num_classes": ("bigint", 1), "comment_ratio": ("double", 0.01),
+    "has_docstring": ("boolean", False), "is_parseable": ("boolean", True), "num_lines": ("int", 44),
+    "avg_line_length": ("double", 31.5), "alphanum_fraction": ("double", 0.72), "doc_score": ("double", 0.3),
+    "syntactic_score": ("double", 0.95), "security_score": ("double", 0.85), "llm_score": ("double", None),
+}
+SCHEMA = ", ".join(f"{name} {kind}" for name, (kind, _) in PLAIN.items())
 
 
 @pytest.fixture(scope="module")
 def score(spark):
     def run(add, column, *rows):
-        df = spark.createDataFrame([tuple({**DEFAULTS, **r}.values()) for r in rows], SCHEMA).coalesce(1)
+        values = [tuple(r.get(name, value) for name, (_, value) in PLAIN.items()) for r in rows]
+        df = spark.createDataFrame(values, SCHEMA).coalesce(1)
         return [r[0] for r in add(df).select(column).collect()]
     return run
 
 
-def test_syntactic(score):
-    def s(*rows):
-        return score(scoring.add_syntactic_score, "syntactic_score", *rows)
-
-    unparseable, null, good, short, normal, wide, broad, symbols, no_defs = s(
-        dict(is_parseable=False), dict(is_parseable=None),
-        dict(num_lines=30, avg_line_length=50.0, alphanum_fraction=0.65),
-        dict(num_lines=5), {}, dict(avg_line_length=130.0), dict(avg_line_length=90.0),
-        dict(alphanum_fraction=0.10), dict(num_functions=0, num_lines=9))
-    assert unparseable == null == 0.0
-    assert good >= 0.8
-    assert short < normal and wide < broad < normal + 0.01 and symbols < normal
-    assert (short, wide, broad, symbols, no_defs) == (0.9, 0.95, 1.0, 0.85, 0.85)
-    edges = s(dict(num_lines=10, num_functions=0), dict(avg_line_length=120.0, num_functions=0),
-              dict(avg_line_length=80.0, num_functions=0), dict(alphanum_fraction=0.35, num_functions=0))
-    assert edges == [1.0, 0.95, 1.0, 1.0]
-    assert all(0 <= x <= 1 for x in s({}, dict(is_parseable=False), dict(alphanum_fraction=0.01, num_lines=2)))
+BARE = dict(num_functions=0, num_classes=0)
 
 
-def test_documentation(score):
-    def s(*rows):
-        return score(scoring.add_doc_score, "doc_score", *rows)
+@pytest.mark.parametrize("row, value", [
+    ({}, 1.0), (BARE, 1.0), (dict(is_parseable=False), 0.0), (dict(is_parseable=None), 0.0),
+    ({**BARE, "num_lines": 9}, 0.85), ({**BARE, "num_lines": 10}, 1.0), (dict(num_lines=1), 0.9),
+    ({**BARE, "avg_line_length": 80.0}, 1.0), ({**BARE, "avg_line_length": 80.1}, 0.95),
+    ({**BARE, "avg_line_length": 120.0}, 0.95), ({**BARE, "avg_line_length": 120.1}, 0.9),
+    ({**BARE, "alphanum_fraction": 0.35}, 1.0), ({**BARE, "alphanum_fraction": 0.34}, 0.8),
+    (dict(num_functions=0, alphanum_fraction=0.2), 0.85), (dict(num_classes=0, alphanum_fraction=0.2), 0.85),
+    ({**BARE, "num_lines": 3, "avg_line_length": 500.0, "alphanum_fraction": 0.0}, 0.55),
+])
+def test_syntactic(score, row, value):
+    assert score(scoring.add_syntactic_score, "syntactic_score", row) == [value]
 
-    assert s(dict(num_functions=1)) == [0.0]
-    assert s(dict(has_docstring=True)) == [0.5]
-    low, high = s(dict(comment_ratio=0.03), dict(comment_ratio=0.12))
-    assert high > low
-    small, bare = s(dict(num_functions=1), dict(num_functions=5))
-    assert small >= bare
-    every = s(*[dict(has_docstring=d, comment_ratio=c, num_functions=n)
-                for d in (False, True, None) for c in (0.0, 0.05, 0.10) for n in (0, 3)])
-    assert set(every) == {0.0, 0.05, 0.15, 0.20, 0.30, 0.50, 0.65, 0.80}
+
+def test_documentation(score):
+    grid = [(d, c, n) for d in (True, False, None) for c in (0.049, 0.05, 0.099, 0.10) for n in (2, 3)]
+    got = score(scoring.add_doc_score, "doc_score",
+                *[dict(has_docstring=d, comment_ratio=c, num_functions=n) for d, c, n in grid])
+    for (docstring, comments, functions), value in zip(grid, got):
+        points = 50 * bool(docstring) + {0.049: 0, 0.05: 15, 0.099: 15, 0.10: 30}[comments]
+        assert value == max(0, points - 10 * (functions == 3 and not docstring)) / 100
 
 
-def test_composite(score):
+def test_composite_at_its_ends(score):
     def s(*rows):
         return score(scoring.add_composite_score, "composite_score", *rows)
 
-    ones = dict(syntactic_score=1.0, doc_score=1.0, security_score=1.0)
-    zeros = dict(syntactic_score=0.0, doc_score=0.0, security_score=0.0)
-    assert s(ones, {**ones, "llm_score": 5.0}) == [1.0, 1.0]
-    assert s({**zeros, "llm_score": 1.0}) == [0.0]
-    mixed = dict(syntactic_score=0.8, doc_score=0.6, security_score=0.9)
-    assert all(0 <= x <= 1 for x in s(*[{**mixed, "llm_score": v} for v in (None, 1.0, 3.0, 4.5, 5.0)]))
+    parts = ("syntactic_score", "doc_score", "security_score")
+    best, worst = dict.fromkeys(parts, 1.0), dict.fromkeys(parts, 0.0)
+    assert s(best, {**best, "llm_score": 5.0}, {**best, "llm_score": 1.0}) == [1.0, 1.0, 0.8]
+    assert s(worst, {**worst, "llm_score": 1.0}, {**worst, "llm_score": 5.0}) == [0.0, 0.0, 0.2]
 
 
 def test_composite_rounds_half_up_everywhere(score):

@@ -66,12 +66,19 @@ def test_first_n_opens_only_the_files_it_needs(spark, tmp_path):
     assert sorted(r.position for r in df.select("position", "content").collect()) == list(range(30))
 
 
-def test_many_files_join_by_shuffle(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(registry, "BROADCAST_FILES", 0)
-    monkeypatch.setattr(registry, "PRUNED_FILES", 1)
-    stack_shards(spark, tmp_path)
+def test_first_n_never_counts_files_beyond(spark, tmp_path):
+    stack_shards(spark, tmp_path, files=6)
     scan = registry.read_source(spark, registry.lookup("the-stack"), str(tmp_path), "python")
+    assert len(registry._first_files(scan, 20)) == 1
+    assert len(registry._first_files(scan, 70)) == 3
     assert {r["size"]: r.position for r in registry.with_position(scan, 60).collect()} == {i: i for i in range(60)}
+    assert registry.with_position(scan, 10_000).count() == 150
+
+
+def test_odd_file_names(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    spark.range(7).coalesce(1).write.parquet(str(folder))
+    assert registry.with_position(spark.read.parquet(str(folder)), 5).count() == 5
 
 
 def test_id_widens_past_six_digits(spark):
@@ -114,7 +121,8 @@ def test_cleaned_layer_unites_files_and_keeps_keys_as_text(spark, tmp_path):
                                                "id string, source string, language string, size bigint"), path)
     layers.write_cleaned(spark.createDataFrame([("b", "8", "go", "f")],
                                                "id string, source string, language string, entry string"), path)
-    rows = layers.read_cleaned(spark, path).select("id", "source", "language", "size", "entry").orderBy("id").collect()
+    spec = SourceSpec("8", "content", "x", None, {"entry": T.StringType()})
+    rows = layers.read_cleaned(spark, path, spec).select("id", "source", "language", "size", "entry").orderBy("id").collect()
     assert [tuple(r) for r in rows] == [("a", "007", "go", 5, None), ("b", "8", "go", None, "f")]
 
 

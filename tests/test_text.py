@@ -8,24 +8,41 @@ from hypothesis import strategies as st
 from corpusq.functions.text import BLANKS, LINE_ENDS
 from corpusq.operators import dedup, features
 
-EDGES = [
-    "", "\n", "a", "a\n", "a\r\nb", "a\r\n", "\r\n\r\n", "\n\n#", "\r\r\n\n", "#", "  #", "##\n##",
-    "# x\n  # y\n\t#z\nq # n", "a\x0b#b\x0c#c", "\r\n#a\r\n #b\r#c",
-    "\xa0# nb\x1cx\x85# y\u2028#z\u2029 \u3000# w", "\u3000code\x1f\n", "\u65e5\u672c\u8a9e\U0001f600\xbd\xb2\u2177",
-    "e\u0301 combining", "x" * 300, "\x1c\x1d\x1e", "a\x00b\nc", "no end\n\n\n",
-]
-
-
-def expected(text):
-    lines = text.splitlines()
-    n = max(len(lines), 1)
-    return (
-        len(lines),
-        sum(len(line) for line in lines) / n,
-        sum(c.isalnum() for c in text) / max(len(text), 1),
-        sum(1 for line in lines if line.strip().startswith("#")) / n,
-        hashlib.sha256(text.strip().encode()).hexdigest(),
-    )
+# Texts with (lines, characters outside line ends, letters and numbers, comment lines).
+EDGES = {
+    "": (0, 0, 0, 0), "\n": (1, 0, 0, 0), "a": (1, 1, 1, 0), "a\n": (1, 1, 1, 0), "a\r\nb": (2, 2, 2, 0),
+    "a\r\n": (1, 1, 1, 0), "\r\n\r\n": (2, 0, 0, 0), "\n\n#": (3, 1, 0, 1), "\r\r\n\n": (3, 0, 0, 0),
+    "#": (1, 1, 0, 1), "  #": (1, 3, 0, 1), "##\n##": (2, 4, 0, 2), "# x\n  # y\n\t#z\nq # n": (4, 16, 5, 3),
+    "a\x0b#b\x0c#c": (3, 5, 3, 2), "\r\n#a\r\n #b\r#c": (4, 7, 3, 3),
+    "\xa0# nb\x1cx\x85# y\u2028#z\u2029 \u3000# w": (5, 16, 6, 4), "\u3000code\x1f\n": (1, 6, 4, 0),
+    "\u65e5\u672c\u8a9e\U0001f600\xbd\xb2\u2177": (1, 7, 6, 0), "e\u0301 combining": (1, 12, 10, 0),
+    "x" * 300: (1, 300, 300, 0), "\x1c\x1d\x1e": (3, 0, 0, 0), "a\x00b\nc": (2, 4, 3, 0), "no end\n\n\n": (3, 6, 5, 0),
+}
+ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+
+
+def by_scan(text):
+    """The same four figures, read character by character."""
+    lines, letters, outside, comments = 0, 0, 0, 0
+    fresh, begun, previous = True, False, ""
+    for c in text:
+        if c in ENDS:
+            if not (c == "\n" and previous == "\r"):
+                lines += 1
+            fresh, begun = True, False
+        else:
+            outside, begun = outside + 1, True
+            letters += unicodedata.category(c)[0] in "LN"
+            if fresh and c not in BLANKS:
+                comments, fresh = comments + (c == "#"), False
+        previous = c
+    return lines + begun, outside, letters, comments
+
+
+def expected(text, figures):
+    lines, outside, letters, comments = figures
+    digest = hashlib.sha256(text.strip(BLANKS).encode()).hexdigest()
+    return lines, outside / max(lines, 1), letters / max(len(text), 1), comments / max(lines, 1), digest
 
 
 def measured(texts, contents):
@@ -43,8 +60,9 @@ def test_blank_sets_are_pythons():
 
 
 def test_edge_texts(texts):
-    for text, got in zip(EDGES, measured(texts, EDGES)):
-        assert got == expected(text), repr(text)
+    for (text, figures), got in zip(EDGES.items(), measured(texts, list(EDGES))):
+        assert got == expected(text, figures), repr(text)
+        assert by_scan(text) == figures, repr(text)
 
 
 # Letters assigned long ago: the JVM and Python may follow different Unicode versions.
@@ -57,7 +75,7 @@ SETTLED = st.characters(exclude_categories=["Cs"]).filter(
                 min_size=60, max_size=90))
 def test_random_texts(texts, contents):
     for text, row in zip(contents, measured(texts, contents)):
-        assert row == expected(text), repr(text)
+        assert row == expected(text, by_scan(text)), repr(text)
 
 
 def test_null_text_stays_null(texts):
@@ -71,14 +89,13 @@ def test_source_columns_of_the_same_name_are_replaced(spark):
     assert out.first()["avg_line_length"] == 2.0
 
 
-def test_hard_filter_drops_short_keeps_valid_drops_long_lines(texts):
-    def kept(contents):
-        return features.apply_hard_filters(features.add_text_features(texts(contents))).count()
-
-    assert kept(["x = 1\n" * 3, "x = 1\n" * 20]) == 1
-    assert kept(["def foo():\n    pass\n" * 10]) == 1
-    assert kept([("x" * 250 + "\n") * 10]) == 0
-    assert kept([]) == 0
+def test_hard_filter_on_texts(texts):
+    contents = ["let v = 7;\n" * 4, "let v = 7;\n" * 5, "let v = 7;\n" * 1000, "let v = 7;\n" * 1001,
+                ("w" * 201 + "\n") * 6, ("w" * 200 + "\n") * 6, "!?!?a\n" * 9, "!?!a\n" * 9, "", None]
+    kept = features.apply_hard_filters(features.add_text_features(texts(contents)))
+    # Of "!?!a" and its line end, one character in five is a letter.
+    assert {r.id for r in kept.collect()} == {1, 2, 5}
+    assert features.apply_hard_filters(features.add_text_features(texts([]))).count() == 0
 
 
 def test_hard_filter_bounds_are_inclusive(spark):
