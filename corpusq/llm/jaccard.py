@@ -5,8 +5,8 @@ only where its entries can reach the size-derived bound, block by block:
 
 * Rarest-first columns come first. Two rows that reach the bound share at least ``SHARED``
   of the first (size - needed overlap + SHARED) columns of either, whatever the order; the
-  order itself (frequent shingles last, judged by counts of words and of locally frequent
-  shingles) only keeps this first product sparse. Its overlap counts are accumulated by
+  order itself (frequent shingles last, judged by counts of words, of locally frequent
+  shingles, and of a first round's columns) only keeps this first product sparse. Its overlap counts are accumulated by
   column; pairs below the bound, or of incompatible sizes, are discarded.
 * A column of more than ``SHORT_COLUMN`` rows forms no pairs: its rows are only noted to
   belong together.
@@ -56,9 +56,28 @@ def needed_overlap(a, b, percent: int):
 
 # ---- column order ---------------------------------------------------------------------
 
-def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, dict[str, int]]:
-    """Shingles and words that are frequent within some task, with weights that grow with
-    their counts; both lists are bounded, and any list gives the same links."""
+class Order:
+    """How late a shingle comes among the columns: weights of shingles known to be frequent
+    (sorted, with counts), and of words. Both lists are bounded; any lists give the same links."""
+
+    def __init__(self, counts: list[tuple[int, int]], terms: dict[str, int]):
+        self.counts, self.terms = dict(counts), terms
+        self.shingles = np.array(sorted(self.counts), np.int64)
+        self.weights = np.array([int(self.counts[s]).bit_length() for s in self.shingles.tolist()], np.int64)
+
+    def with_counts(self, more: list[tuple[int, int]]) -> Order:
+        return Order([*self.counts.items(), *more], self.terms)
+
+    def places(self, sets: ShingleSets) -> np.ndarray:
+        by_words = sets.word_sums(self.terms)
+        if not len(self.shingles):
+            return by_words
+        at = np.minimum(np.searchsorted(self.shingles, sets.hashes), len(self.shingles) - 1)
+        return by_words + (np.where(self.shingles[at] == sets.hashes, self.weights[at], 0) << 32)
+
+
+def _frequent(docs: DataFrame, words: int) -> Order:
+    """The order by words and shingles that are frequent within some task."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, terms = [], {}
         for batch in batches:
@@ -82,9 +101,18 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, dict[str, int]]:
         F.sum("n").alias("n"))
     top = lambda column, limit: sums.filter(F.col(column).isNotNull()).orderBy(F.desc("n"), column).limit(limit)
     sums = written(sums, "frequent")
-    shingles = np.array(sorted(r[0] for r in top("shingle", FREQUENT_SHINGLES).select("shingle").collect()), np.int64)
-    terms = {r[0]: int(r[1]).bit_length() for r in top("word", FREQUENT_WORDS).select("word", "n").collect()}
-    return shingles, terms
+    counts = [(r[0], r[1]) for r in top("shingle", FREQUENT_SHINGLES).select("shingle", "n").collect()]
+    return Order(counts, {r[0]: int(r[1]).bit_length() for r in top("word", FREQUENT_WORDS).select("word", "n").collect()})
+
+
+def _refined(docs: DataFrame, words: int, percent: int, order: Order) -> Order:
+    """``order`` with what it leaves too long among the first columns moved to the end.
+
+    A passage that some dozens of texts share is frequent in no single task, yet would tie
+    all of them together; counting the first columns themselves shows it."""
+    first = _first_columns(docs, words, percent, order).select(F.explode("first").alias("column"))
+    long = first.groupBy("column").agg(F.count("*").alias("rows")).filter(F.col("rows") > SHORT_COLUMN // 2)
+    return order.with_counts([(r[0], r[1]) for r in long.orderBy(F.desc("rows"), "column").limit(FREQUENT_SHINGLES).collect()])
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,24 +124,23 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 # ---- first columns --------------------------------------------------------------------
 
-def _first_columns(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _first_columns(docs: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
     """(doc_id, n, digest, first): each text's set size, a digest of the set, and its first columns."""
-    shingles, terms = _frequent(docs, words)
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def make():
+        columns = shared.value
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = ShingleSets(batch.column("text"), words)
             n = sets.sizes
-            at = np.searchsorted(shingles, sets.hashes)
-            at[at == len(shingles)] = 0
-            frequent = shingles[at] == sets.hashes if len(shingles) else np.zeros(len(sets.hashes), bool)
             rows = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((sets.hashes, sets.word_sums(terms) + (frequent.astype(np.int64) << 32), rows))
-            place = np.arange(len(order)) - sets.bounds[rows]
+            by_order = np.lexsort((sets.hashes, columns.places(sets), rows))
+            place = np.arange(len(by_order)) - sets.bounds[rows]
             # A set at its size's bound overlaps a partner in at least this many shingles.
             least = -(-n * percent // 100)
             length = np.minimum(n, n - least + SHARED)
-            taken = order[place < length[rows]]
+            taken = by_order[place < length[rows]]
             digests = [xxhash.xxh3_128_digest(sets.of(i).tobytes()) if n[i] else None for i in range(len(n))]
             offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             return pa.RecordBatch.from_arrays([
@@ -300,7 +327,8 @@ def _links(blocked: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = written(_first_columns(docs, words, percent), "first-columns")
+    order = _refined(docs, words, percent, _frequent(docs, words))
+    rows = written(_first_columns(docs, words, percent, order), "first-columns")
     classes = rows.filter("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("first").alias("first"))
     classes = written(classes, "classes")
