@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from functools import lru_cache
+from itertools import islice
 from math import ceil
 
 import numpy as np
@@ -33,6 +34,7 @@ SEQUENCE = 2048
 END_ID = 0
 GROUP_PIECES = 100_000
 REMEMBERED = 500_000
+AT_ONCE = 50_000  # parts handed to the tokenizer at once
 
 
 def _byte_letters() -> dict[int, str]:
@@ -68,37 +70,41 @@ class Encoder:
                 [t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
         return found
 
-    def _add(self, parts: list[str]) -> None:
-        """Encode parts not yet known. Letters (Latin ones, where case and form are simple) with
+    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts not remembered. Letters (Latin ones, where case and form are simple) with
         closing punctuation are one word or two; anything else takes the whole tokenizer."""
-        if len(self.parts) + len(parts) > REMEMBERED:
-            self.parts.clear()
-        others = []
+        found, others = {}, []
         for part in parts:
             letters = part.rstrip(SIMPLE_TAIL)
             lower = letters.lower()
             if lower.isalpha() and max(letters) < "ɐ":
                 tail = part[len(letters):]
-                self.parts[part] = self._word(lower) + (self._word(tail) if tail else b"")
+                found[part] = self._word(lower) + (self._word(tail) if tail else b"")
             else:
                 others.append(part)
-        if others:
-            for part, encoding in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False)):
-                self.parts[part] = np.array(encoding.ids, "<u4").tobytes()
+        for start in range(0, len(others), AT_ONCE):
+            some = others[start:start + AT_ONCE]
+            for part, encoding in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+                found[part] = np.array(encoding.ids, "<u4").tobytes()
+        return found
+
+    def _resolve(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part. The memory only saves work: it is cleared and filled after all parts
+        have been looked up, so a batch may hold any number of them."""
+        known = self.parts
+        own = self._encoded([p for p in parts if p not in known])
+        each = [own[p] if p in own else known[p] for p in parts]
+        if len(known) + len(own) > REMEMBERED:
+            known.clear()
+        known.update(islice(own.items(), REMEMBERED))
+        return each
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): text i has ``ids[bounds[i]:bounds[i + 1]]``."""
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
         parts = coded.dictionary.to_pylist()
-        known = self.parts
-        missing = [p for p in parts if p not in known]
-        if missing:
-            held = len(known)
-            self._add(missing)
-            if len(known) < held + len(missing):  # memory was cleared: the rest is missing too
-                self._add([p for p in parts if p not in known])
-        each = [known[p] for p in parts]
+        each = self._resolve(parts)
         pool = np.frombuffer(b"".join(each), "<u4")
         sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(each) else np.zeros(0, np.int64)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from corpusq.llm.batches import filled, map_batches
 CHUNK = 16_384
 OVERLAP = 256
 REMEMBERED = 600_000
+AT_ONCE = 50_000  # segments handed to the model at once
 LIMIT = 4096
 MARK = "\u2581"  # fixed value: how the vocabulary writes a space
 
@@ -68,11 +70,19 @@ class Counter:
         # What encoding adds before a text: a lone mark, when the text opens with a line feed.
         self.lead = len(self.model.encode("\n")) - len(self.model.encode("\n\n")) + len(self.model.encode("\n"))
 
-    def _encode_missing(self, segments: list[str]) -> None:
-        if len(self.known) + len(segments) > REMEMBERED:
-            self.known.clear()
-        for segment, ids in zip(segments, self.model.encode(segments, num_threads=1)):
-            self.known[segment] = len(ids)
+    def _resolve(self, segments: list[str]) -> list[int]:
+        """Tokens of each segment. The memory only saves work: it is cleared and filled after all
+        segments have been looked up, so a batch may hold any number of them."""
+        known, own = self.known, {}
+        missing = [s for s in segments if s not in known]
+        for start in range(0, len(missing), AT_ONCE):
+            some = missing[start:start + AT_ONCE]
+            own.update(zip(some, map(len, self.model.encode(some, num_threads=1))))
+        each = [own[s] if s in own else known[s] for s in segments]
+        if len(known) + len(own) > REMEMBERED:
+            known.clear()
+        known.update(islice(own.items(), REMEMBERED))
+        return each
 
     def count_all(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
@@ -101,17 +111,11 @@ class Counter:
         lists = pc.split_pattern(cut, "\x00")
         coded = lists.flatten().dictionary_encode()
         segments = coded.dictionary.to_pylist()
-        missing = [s for s in segments if s not in self.known]
-        if missing:
-            held = len(self.known)
-            self._encode_missing(missing)
-            if held > len(self.known) - len(missing):  # memory was cleared: the rest is missing too
-                self._encode_missing([s for s in segments if s not in self.known])
-        known = self.known
+        tokens = self._resolve(segments)
         # An empty segment is a space with nothing after it, or the mark before a text that
         # opens with a line feed: a lone mark either way.
         each = np.fromiter(
-            (known[s] - self.lead * s.startswith("\n") if s else self.lead for s in segments), np.int64, len(segments))
+            (n - self.lead * s.startswith("\n") if s else self.lead for s, n in zip(segments, tokens)), np.int64, len(segments))
         bounds = lists.offsets.to_numpy()
         sums = np.concatenate([[0], np.cumsum(each[coded.indices.to_numpy(zero_copy_only=False)])])
         counts = sums[bounds[1:]] - sums[bounds[:-1]]

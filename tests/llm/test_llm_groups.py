@@ -128,6 +128,19 @@ def test_encoding_equals_the_library():
         assert ids[bounds[i]:bounds[i + 1]].tolist() == w.ids, texts[i]
 
 
+def test_more_parts_than_are_remembered(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "AT_ONCE", 2, raising=False)
+    encoder = packing.Encoder(TOKENIZER)
+    for batch in (["one two"], ["one 11 22 33 44 three four 55 two"], ["44 55 one, 66", "77 88 one two"]):
+        ids, bounds = encoder.encode(pa.array(batch))
+        for text, start, end in zip(batch, bounds, bounds[1:]):
+            assert ids[start:end].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.parts) <= 3
+
+
 def test_best_fit_takes_the_tightest():
     rng = random.Random(6)
     lengths = sorted((rng.randint(1, 64) for _ in range(400)), reverse=True)

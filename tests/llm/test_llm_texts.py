@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from corpusq.llm import html_text, language, toxicity
+from corpusq.llm import html_text, language, token_counts, toxicity
 from corpusq.llm.lexicon import FUZZY_LENGTH, Lexicon
 from corpusq.llm.queries import llm_queries
 from corpusq.llm.token_counts import Counter, count_tokens
@@ -173,6 +173,15 @@ def test_token_counts_equal_the_library():
     assert counter.count_all(pa.array(texts)).tolist() == [len(x) for x in counter.model.encode(texts)]
 
 
+def test_more_segments_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    monkeypatch.setattr(token_counts, "AT_ONCE", 2, raising=False)
+    counter = Counter(MODEL)
+    for batch in (["one two"], ["one 11 22 33 44 three four 55 two"], ["44 55 one, 66", "\n77 88\none two "]):
+        assert counter.count_all(pa.array(batch)).tolist() == [len(counter.model.encode(t)) for t in batch]
+        assert len(counter.known) <= 3
+
+
 def test_spliced_chunks_equal_one_encoding():
     rng = random.Random(2)
     counter = Counter(MODEL, chunk=40, overlap=8)
