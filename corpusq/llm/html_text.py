@@ -9,7 +9,8 @@ chrome: menus, headers, footers, side bars, notices, adverts, forms, scripts, co
 Pages are independent: they run in Arrow batches where they lie, nothing is shuffled.
 
 Defined cases: null and empty pages, and pages without text outside chrome, give an empty
-text. Broken markup is closed as a browser would for the common cases; a tag that never
+text; of chrome by name alone, what outweighs the rest of the page is taken for its article.
+Broken markup is closed as a browser would for the common cases; a tag that never
 ends is dropped with what follows it. Repeated rows come back as they are; extra columns
 are ignored.
 """
@@ -17,7 +18,9 @@ are ignored.
 from __future__ import annotations
 
 import re
+from heapq import heappop, heappush
 from html import unescape
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,9 +30,10 @@ from corpusq.llm.batches import filled, map_batches
 
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object canvas".split())
 CHROME = frozenset(
-    "head nav header footer aside form button select option label fieldset menu dialog figcaption".split()) | RAW
+    "head nav header footer aside form button select option label fieldset menu dialog annotation annotation-xml".split()) | RAW
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -37,11 +41,21 @@ ENDS_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
-# Names that mark an element as chrome, unless a name of the second kind overrules it.
-UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|foot\w*|header|masthead|"
-    r"comments?|comment\w*|replies|disqus|cookies?\w*|consent|notice|alert|popup|modal|newsletter|subscribe|signup|share|sharing|"
-    r"social|related|recommend\w*|widget|pagination|pager|toolbar|skip|login)(?:$|[\s_-])", re.I)
+# Names that mark an element as chrome. The text of the first kind is never an article's unless
+# next to nothing else is left; the second kind yields to text that outweighs the rest.
+STRONG = re.compile(
+    r"(?:^|[_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promos?|promotion\w*|promoted|breadcrumbs?|foot|footer\w*|masthead|"
+    r"navi?|navs|navbar\w*|navigation\w*|navmenu|navlinks?|comments?|comment(?:list|form|box|area|section)\w*|replies|disqus|"
+    r"cookies?(?:bar|banner|notice|consent\w*)?|consent|popup|modal|newsletter|subscribe|signup|pagination|pager|login)(?:$|[_-])")
+WEAK = re.compile(
+    r"(?:^|[_-])(?:banner|sidebar|side|menu|header|notice|alert|share|sharing|social|related|recommend\w*|widget|toolbar|"
+    r"skip)(?:$|[_-])")
+# Names that overrule them: those of an article, and those that only say what a layout has.
+ARTICLE = re.compile(r"(?:^|[_-])(?:article|content|contents|main|post|entry|story|body|text|prose|page)(?:$|[_-])")
+LAYOUT = re.compile(r"(?:^|[_-])(?:has|no|not|with|without)[_-]")
+# Text of a name of the first kind must be so many times the rest; links' share of a menu's text.
+OUTWEIGHS = 20
+LINKS = 0.5
 LIKELY_TAGS = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "body": 0.0,
                "form": -10.0, "ul": -5.0, "ol": -5.0, "li": -5.0, "th": -5.0}
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
@@ -54,22 +68,19 @@ NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "chrome", "points", "own", "link", "blocky")
+    __slots__ = ("tag", "parent", "children", "chrome", "named", "article", "points", "own", "link", "blocky")
 
     def __init__(self, tag: str, parent: "Element | None", chrome: bool):
         self.tag, self.parent, self.chrome = tag, parent, chrome
+        self.named = 0  # how many times the rest its text must be, if its name is one of chrome
+        self.article = tag in ("article", "main")
         self.children: list["Element | str"] = []
         self.points = 0.0
         self.own: tuple[int, int, int] | None = None
         self.link = self.blocky = False
 
 
-def _is_chrome(tag: str, rest: str) -> bool:
-    if tag in CHROME:
-        return True
-    if not rest or tag in ("body", "html", "article", "main"):
-        return False
-    names = []
+def _is_hidden(rest: str) -> bool:
     for name, *values in NAMES.findall(rest):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -78,9 +89,21 @@ def _is_chrome(tag: str, rest: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id"):
-            names.append(value)
-    return bool(names) and bool(UNLIKELY.search(" ".join(names)))
+    return False
+
+
+def _set_names(node: Element, rest: str) -> None:
+    """Sets ``named`` and ``article`` from the names in class and id."""
+    names = " ".join("".join(values).lower() for name, *values in NAMES.findall(rest) if name.lower() in ("class", "id")).split()
+    for name in names:
+        if LAYOUT.search(name):
+            continue
+        if STRONG.search(name):
+            node.named = OUTWEIGHS
+        elif WEAK.search(name):
+            node.named = node.named or 1
+        elif ARTICLE.search(name):
+            node.article = True
 
 
 def parse(html: str) -> Element:
@@ -89,10 +112,15 @@ def parse(html: str) -> Element:
     while at < end:
         found = TOKEN.search(html, at)
         if not found:
+            if here.tag == "head":
+                here = here.parent
             here.children.append(unescape(html[at:]))
             break
         if found.start() > at:
-            here.children.append(unescape(html[at:found.start()]))
+            text = unescape(html[at:found.start()])
+            if here.tag == "head" and text.strip():
+                here = here.parent
+            here.children.append(text)
         at = found.end()
         tag = found["tag"]
         if tag is None:
@@ -107,6 +135,8 @@ def parse(html: str) -> Element:
             if node.parent and node.tag == tag:
                 here = node.parent
             continue
+        if here.tag == "head" and tag not in IN_HEAD:  # its end tag may be left out
+            here = here.parent
         if tag in ENDS_P or tag in CLOSES:
             node, stop = here, CLOSES.get(tag, set())
             while node.parent and node.tag != "p" and node.tag not in stop and node.tag not in BLOCKS:
@@ -119,7 +149,10 @@ def parse(html: str) -> Element:
             if tag == "hr":
                 here.children.append(Element("hr", here, False))
             continue
-        node = Element(tag, here, here.chrome or _is_chrome(tag, found["rest"]))
+        free = tag in ("body", "html", "article", "main")
+        node = Element(tag, here, here.chrome or tag in CHROME or not free and _is_hidden(found["rest"]))
+        if not free and not node.chrome and found["rest"]:
+            _set_names(node, found["rest"])
         here.children.append(node)
         if tag in RAW:  # its content is no markup; it ends at its own end tag only
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
@@ -154,6 +187,52 @@ def _measure(elements: list[Element]) -> None:
         up.blocky = up.blocky or node.blocky or node.tag in BLOCKS
 
 
+def _named_below(node: Element) -> list[Element]:
+    """The uppermost elements below ``node`` that have a name of chrome."""
+    found, stack = [], [c for c in node.children if isinstance(c, Element)]
+    while stack:
+        below = stack.pop()
+        if below.chrome:
+            continue
+        if below.named:
+            found.append(below)
+        else:
+            stack.extend(c for c in below.children if isinstance(c, Element))
+    return found
+
+
+def _prose(node: Element) -> int:
+    chars, linked, _ = node.own or (0, 0, 0)
+    return chars - linked
+
+
+def _settle_names(root: Element) -> bool:
+    """Makes those named like chrome chrome, save where they are called an article's too and are
+    no menu, or where their text outside links outweighs what is left of the page. Tells whether any are."""
+    queue, rest, dropped = [], _prose(root), False
+    order = count()
+
+    def put(node: Element) -> int:
+        below = _named_below(node)
+        for n in below:
+            heappush(queue, (not n.article or _is_menu(n), -_prose(n), next(order), n))
+        return sum(map(_prose, below))
+
+    rest -= put(root)
+    while queue:
+        doubtful, _, _, node = heappop(queue)
+        if not doubtful or _prose(node) > node.named * rest:
+            rest += _prose(node) - put(node)
+        else:
+            node.chrome = dropped = True
+    return dropped
+
+
+def _is_menu(node: Element) -> bool:
+    chars, linked, _ = node.own or (0, 0, 0)
+    return chars > 0 and linked > LINKS * chars
+
+
 def _best(elements: list[Element]) -> Element | None:
     candidates: dict[int, Element] = {}
     for node in elements:
@@ -219,6 +298,9 @@ def main_text(html: str) -> str:
     root = parse(html)
     elements = _elements(root)
     _measure(elements)
+    if _settle_names(root):
+        elements = _elements(root)
+        _measure(elements)
     best = _best(elements)
     kept = _kept(best) if best is not None else [root]
     texts = (" ".join("".join(parts).split()) for node in kept for parts in _blocks(node))

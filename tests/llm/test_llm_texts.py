@@ -147,6 +147,30 @@ def test_main_text(html):
     assert html_text.main_text(html) == PAGES[html]
 
 
+LONG = " ".join([PARAGRAPH] * 4)
+
+
+@pytest.mark.parametrize("names", [
+    "content has-sidebar", "page no-sidebar", "post-content with-comments", "football", "footnotes", "naval", "side", "header",
+    "main share", "comments"])
+def test_names_do_not_drop_an_article(names):
+    assert html_text.main_text(f"<body><h1>T</h1><div class='{names}'><p>{LONG}</p><p>{PARAGRAPH}</p></div>").endswith(f"{LONG} {PARAGRAPH}")
+
+
+@pytest.mark.parametrize("names", ["sidebar", "comments", "footer", "ad", "nav-main", "navbar", "related"])
+def test_names_drop_what_lies_beside_an_article(names):
+    page = f"<article><p>{LONG}</p></article><div class='{names}'><p>{PARAGRAPH}</p></div>"
+    assert html_text.main_text(page) == LONG
+
+
+def test_a_head_without_end_and_figures():
+    assert html_text.main_text(f"<html><head><title>T</title><meta a=b><body><p>{PARAGRAPH}</p></body></html>") == PARAGRAPH
+    assert html_text.main_text(f"<head><title>T</title><p>{PARAGRAPH}</p>") == PARAGRAPH
+    assert html_text.main_text(
+        f"<article><p>{PARAGRAPH}</p><figure><img src=a><figcaption>A cap.</figcaption></figure>"
+        "<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p></article>") == f"{PARAGRAPH} A cap. So x=1."
+
+
 def test_pages_with_nulls_repeats_and_no_rows(spark):
     rows = [(1, "u", "<p>x</p>", 0), (1, "u", "<p>x</p>", 0), (None, None, None, 0)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
