@@ -2,9 +2,9 @@
 
 A page becomes a tree of elements. Paragraph-like blocks earn points for their length and
 commas and hand them to their ancestors, halved with each step up; a container's points are
-discounted by the share of its text that is links. The best container and those of its
-siblings that look like part of the article are kept, less everything in them that is
-chrome: menus, headers, footers, side bars, notices, adverts, forms, scripts, comments.
+discounted by the share of its text that is links. The best container is kept whole, and
+what lies around it unless it is mostly links, less everything that is chrome: menus,
+headers, footers, side bars, notices, adverts, forms, scripts, comments.
 
 Pages are independent: they run in Arrow batches where they lie, nothing is shuffled.
 
@@ -258,22 +258,16 @@ def _discounted(node: Element) -> float:
     return node.points * (1 - linked / chars) if chars else 0.0
 
 
-def _kept(best: Element) -> list[Element]:
-    """The best container and the siblings that read like more of it, in page order."""
-    if best.parent is None or best.parent.tag in ("#root", "html"):
-        return [best]
-    least = max(10.0, _discounted(best) * 0.2)
-    kept = []
-    for node in best.parent.children:
-        if node is best:
-            kept.append(node)
-        elif isinstance(node, Element) and not node.chrome and node.own and node.own[0]:
-            chars, linked, _ = node.own
-            prose = node.tag == "p" and linked / chars < 0.25 and chars > 80
-            heading = node.tag in ("h1", "h2", "h3") and linked == 0
-            if prose or heading or _discounted(node) >= least and node.tag not in ("ul", "ol"):
-                kept.append(node)
-    return kept
+def _drop_menus(best: Element) -> None:
+    """Siblings of the best container and of its ancestors that are mostly links become chrome;
+    all else stays, whatever its length or tag, and so do an article's links within a line."""
+    node = best
+    while node.parent is not None:
+        up = node.parent
+        for other in up.children:
+            if isinstance(other, Element) and other is not node and not other.chrome and _is_menu(other):
+                other.chrome = not up.article or other.tag in BLOCKS
+        node = up
 
 
 def _blocks(root: Element) -> list[list[str]]:
@@ -302,8 +296,9 @@ def main_text(html: str) -> str:
         elements = _elements(root)
         _measure(elements)
     best = _best(elements)
-    kept = _kept(best) if best is not None else [root]
-    texts = (" ".join("".join(parts).split()) for node in kept for parts in _blocks(node))
+    if best is not None:
+        _drop_menus(best)
+    texts = (" ".join("".join(parts).split()) for parts in _blocks(root))
     return " ".join(t for t in texts if t)
 
 

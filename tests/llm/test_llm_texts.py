@@ -163,6 +163,17 @@ def test_names_drop_what_lies_beside_an_article(names):
     assert html_text.main_text(page) == LONG
 
 
+def test_text_beside_the_best_container():
+    item = "An item of this list, that says in about a hundred characters what is on it and not much more than that"
+    short = "A paragraph of about sixty characters is a part of it, too."
+    links = f"<ul><li><a href=a>{PARAGRAPH}</a><li><a href=b>{PARAGRAPH}</a></ul>"
+    assert html_text.main_text(f"<article><p>{short}</p><ul>{f'<li>{item}</li>' * 30}</ul>{links}</article>") == " ".join([short] + [item] * 30)
+    # a short section beside a long one, in deeper containers, and other tags
+    page = f"<body><div><div><h4>H</h4>{short}</div><div><section><p>{LONG}</p><p>{LONG}</p></section><pre>x = 1</pre><table><tr><td>c</table></div></div>{links}"
+    assert html_text.main_text(page) == f"H {short} {LONG} {LONG} x = 1 c"
+    assert html_text.main_text(f"<div><p>{LONG}</p></div><div><p>End.</p></div>") == f"{LONG} End."
+
+
 def test_a_head_without_end_and_figures():
     assert html_text.main_text(f"<html><head><title>T</title><meta a=b><body><p>{PARAGRAPH}</p></body></html>") == PARAGRAPH
     assert html_text.main_text(f"<head><title>T</title><p>{PARAGRAPH}</p>") == PARAGRAPH
