@@ -324,8 +324,9 @@ def _links(blocked: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.select(*keys, "block", "node", "n", "hashes").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+def near_duplicates(docs: DataFrame, words: int, percent: int, id_is_text: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text). With
+    ``id_is_text`` rows of one id have one text, and any number of them is multiplied once."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = _refined(docs, words, percent, _frequent(docs, words))
     rows = written(_first_columns(docs, words, percent, order), "first-columns")
@@ -335,6 +336,8 @@ def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     clusters = components(_candidates(classes.filter("node is not null"), percent), "clusters").select(
         "node", F.col("component").alias("cluster"))
     sets = written(_sets(docs, written(clusters, "clusters"), words), "sets")
+    if id_is_text and not sets.groupBy("node").count().filter("count > 1").isEmpty():
+        sets = written(sets.dropDuplicates(["node"]), "sets")
     found = components(_links(_blocked(sets, percent), percent), "links")
     named = classes.select("digest", "node").join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
@@ -344,8 +347,25 @@ def near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row of each component of near duplicates, the one with the least id; rows without a
-    text's words or without an id all stay. Columns stay as they are."""
-    found = near_duplicates(docs, words, percent).filter("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(found, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
-    return left
+    """One row of each component of near duplicates, the one with the least id, any id before
+    none; of rows equal in id and text one. Rows without a text's words all stay. Columns stay
+    as they are.
+
+    Rows are told apart by a 64-bit hash of id and text, as shingles are by theirs: ids may
+    repeat or be missing.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = written(near_duplicates(docs.select(key.alias("doc_id"), "text"), words, percent, id_is_text=True).filter("n_shingles > 0").groupBy(
+        F.col("doc_id").alias("key")).agg(F.first("component_id").alias("component"), F.count("*").alias("rows")), "found")
+    ids = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id")).join(found, "key")
+    kept = ids.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("key"))
+    kept = written(kept, "kept")
+    lost = found.join(kept, "key", "left_anti").select("key")
+    left = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(
+        lost, "key", "left_anti")
+    repeated = written(found.filter("rows > 1").join(kept, "key", "left_semi").select("key"), "repeated")
+    if repeated.isEmpty():
+        return left.select("row.*")
+    one = left.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return left.join(repeated, "key", "left_anti").select("row.*").union(one.select("row.*"))

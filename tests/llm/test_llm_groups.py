@@ -77,6 +77,19 @@ def test_join_edge_cases(spark):
     assert jaccard.keep_one(df, 3, 90).columns == df.columns
 
 
+def test_one_row_of_each_component_stays(spark):
+    other = "k l m n o p q r s t"
+    rows = [(None, "x y z"), (4, "x y z"), (4, "x y z"), (9, "x  Y z"),  # one component, repeated least id
+            (5, other), (5, "u v w"), (6, "u v w"), (7, other),  # an id with two texts
+            (None, "q"), (None, "q"), (None, " Q"),  # no ids
+            (8, "h h"), (8, "h h"), (3, None), (3, None), (None, "")]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id bigint, text string, `a.b` string").repartition(3)
+    kept = jaccard.keep_one(df, 3, 90)
+    got = Counter((r[0], (r[1] or "").strip().lower()) for r in kept.collect())
+    assert got == {(4, "x y z"): 1, (5, other): 1, (5, "u v w"): 1, (None, "q"): 1, (8, "h h"): 1, (3, ""): 2, (None, ""): 1}
+    assert kept.columns == df.columns
+
+
 def test_forest_covers_the_links():
     rng = np.random.default_rng(4)
     base = rng.choice(10_000, 400, replace=False)
