@@ -6,7 +6,7 @@ SQL checks what is computed from them.
 
 from __future__ import annotations
 
-from corpusq.llm import chat, mixing, quality
+from corpusq.llm import audit, chat, mixing, quality
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -88,5 +88,43 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
     sha256(loss) AS loss_sha256, formatted_chars FROM s"""
 
 
+def audit_sql() -> str:
+    letters = ", ".join(f"('{x}')" for x in audit.FILTERS)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+f AS (SELECT doc_id, part, text, len(words) < {audit.MIN_WORDS} AS a,
+    100 * len(list_distinct(words)) < {audit.DISTINCT_PERCENT} * len(words) AS b,
+    100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > {audit.CAPITALS_PERCENT} * length(text) AS c,
+    regexp_matches(text, '{audit.SYMBOLS}') AS d FROM w),
+m AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+l AS (SELECT doc_id, max(coalesce(quality, 0)) AS good, max(coalesce(toxic, 0)) AS toxic FROM labels GROUP BY doc_id),
+x AS (SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END,
+    CASE WHEN c THEN 'C' ELSE '' END, CASE WHEN d THEN 'D' ELSE '' END,
+    CASE WHEN coalesce(f.doc_id > m.least, false) THEN 'E' ELSE '' END) AS fails,
+    coalesce(l.good, 0) = 1 AS good, coalesce(l.toxic, 0) = 1 AS toxic
+    FROM f JOIN m USING (text) LEFT JOIN l ON l.doc_id = f.doc_id),
+k AS (SELECT part, fails, good, toxic, count(*) AS n FROM x GROUP BY ALL),
+p AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM (VALUES {letters}) a(x), (VALUES {letters}) b(x),
+    (VALUES {letters}) c(x), (VALUES {letters}) d(x), (VALUES {letters}) e(x)
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+o AS (SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS earlier
+    FROM p, range(1, 6) r(step)),
+j AS (SELECT part, filter_order, step, letter, n, good, toxic, contains(fails, letter) AS here,
+    len(list_filter(str_split(earlier, ''), lambda ch: ch <> '' AND contains(fails, ch))) > 0 AS before,
+    fails = letter AS alone FROM k, o),
+c AS (SELECT part, filter_order, step::INTEGER AS step, letter,
+    sum(n) FILTER (NOT before AND NOT here)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (here AND NOT before), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (here AND before), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (here AND NOT before AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (here AND NOT before AND toxic), 0)::BIGINT AS toxic_lost
+    FROM j GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, removed, redundant, unique_fails,
+    good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM c"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mix_sources": mix_sql(), "op3_quality_rules": quality_sql(), "op4_chat_format": chat_sql()}
+    return {"op1_mix_sources": mix_sql(), "op3_quality_rules": quality_sql(), "op4_chat_format": chat_sql(),
+            "op13_filter_audit": audit_sql()}
