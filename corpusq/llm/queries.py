@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import audit, chat, html_text, jaccard, language, mixing, neighbours, packing, quality, token_counts, toxicity
+from corpusq.llm import audit, chat, minhash_dedup, html_text, jaccard, language, mixing, neighbours, packing, quality, token_counts, toxicity
 from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
@@ -79,6 +79,10 @@ def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), words=5, percent=85)
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -86,7 +90,7 @@ def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
 ALL: tuple[Query, ...] = (
     op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op5_jaccard_join,
     op6_token_counts, op7_language, op8_html_text, op9_packing, op10_neighbours,
-    op13_filter_audit,
+    op12_minhash_dedup, op13_filter_audit,
 )
 
 
