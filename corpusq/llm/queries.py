@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import audit, chat, minhash_dedup, html_text, jaccard, language, mixing, neighbours, packing, quality, token_counts, toxicity
+from corpusq.llm import alignment, audit, chat, minhash_dedup, html_text, jaccard, language, mixing, neighbours, packing, quality, token_counts, toxicity
 from corpusq.llm.common import fold, table
 from corpusq.session import prepare
 
-PIECE_MODEL, WORD_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json"
+PIECE_MODEL, WORD_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "word_bpe_49k.json", "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -79,6 +79,11 @@ def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents").select("doc_id", "text"),
+                           public_tokenizers.path(BYTE_MODEL), public_tokenizers.path(PIECE_MODEL))
+
+
 def op12_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), words=5, percent=85)
 
@@ -90,7 +95,7 @@ def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
 ALL: tuple[Query, ...] = (
     op1_mix_sources, op2_toxicity, op3_quality_rules, op4_chat_format, op5_jaccard_join,
     op6_token_counts, op7_language, op8_html_text, op9_packing, op10_neighbours,
-    op12_minhash_dedup, op13_filter_audit,
+    op11_token_alignment, op12_minhash_dedup, op13_filter_audit,
 )
 
 
