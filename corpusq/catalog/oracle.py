@@ -9,6 +9,7 @@ texts is taken from document-number arithmetic, so no parser is trusted twice.
 from __future__ import annotations
 
 from corpusq.catalog.queries import FIRST_N, SAMPLED, TABLE_SOURCES, WIDE_FROM
+from corpusq.catalog.rendered import ALIASED
 from corpusq.config import Settings
 from corpusq.functions import minhash, security
 
@@ -43,6 +44,7 @@ RENDERED = f"""rendered AS (
     || repeat('x = '||k||{NL}, k % 13)
     || (CASE WHEN k % 17 = 0 THEN 'eval("1")'||{NL} ELSE '' END)
     || (CASE WHEN k % 4 = 1 THEN 'password = "hunter2x"'||{NL} ELSE '' END)
+    || (CASE WHEN k % 19 = 0 THEN {quoted(ALIASED)} ELSE '' END)
     || (CASE WHEN k % 11 = 0 THEN 'def broken(:'||{NL} ELSE '' END) AS content
   FROM (SELECT doc_id, doc_id % 10 = 9 AS dup,
                CAST(CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END AS BIGINT) AS k FROM documents))"""
@@ -106,17 +108,26 @@ cleaned AS (
 # ---- scores ---------------------------------------------------------------------------
 
 def found(source: str) -> str:
+    """Findings by lines; for Python that parses, comment lines give none and the calls behind
+    the rendered aliases (which no line rule sees) are expected from the syntax tree."""
     rules = ",\n    ".join(
-        f"({i}, '{r.severity}', {quoted(r.text)}, {quoted(r.pattern)}, {quoted(r.unless or chr(0x110000 - 1))})"
+        f"({i}, '{r.severity}', {quoted(r.text)}, {quoted(r.pattern)}, {quoted(r.unless or chr(0x110000 - 1))}, false)"
         for i, r in enumerate(security.RULES)
     )
-    return f"""rules(rule, severity, text, pattern, unless) AS (VALUES
-    {rules}),
+    system, shell = security.RULES[3], security.RULES[2]
+    tree = (f"(100, '{system.severity}', {quoted(system.text)}, '^run_cmd\\(', {quoted(chr(0x110000 - 1))}, true),\n"
+            f"    (101, '{shell.severity}', {quoted(shell.text)}, 'shell=1\\)', {quoted(chr(0x110000 - 1))}, true)")
+    return f"""rules(rule, severity, text, pattern, unless, tree) AS (VALUES
+    {rules},
+    {tree}),
 found AS (
   SELECT id, severity, rules.text, CAST(line AS INTEGER) AS line FROM (
-    SELECT id, unnest(parts) AS body, generate_subscripts(parts, 1) AS line
-    FROM (SELECT id, string_split_regex(content, '\\r\\n|{END}') AS parts FROM {source})) lines
-  JOIN rules ON regexp_matches(body, pattern) AND NOT contains(body, unless)),
+    SELECT id, parsed, unnest(parts) AS body, generate_subscripts(parts, 1) AS line
+    FROM (SELECT c.id, coalesce(c.language = 'python' AND st.is_parseable, false) AS parsed,
+            string_split_regex(c.content, '\\r\\n|{END}') AS parts
+          FROM {source} c LEFT JOIN structure st ON st.id = c.id)) lines
+  JOIN rules ON (parsed OR NOT tree) AND NOT (parsed AND regexp_matches(body, '^[ \\t]*#'))
+    AND regexp_matches(body, pattern) AND NOT contains(body, unless)),
 per_row AS (
   SELECT id, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (severity = 'HIGH') AS BIGINT) AS high,
     sum(CASE severity WHEN 'HIGH' THEN 30 WHEN 'MEDIUM' THEN 15 WHEN 'LOW' THEN 5 ELSE 0 END) AS cost,
@@ -343,14 +354,14 @@ WHERE {PASSES} AND m.doc_id NOT IN (SELECT id FROM fold WHERE pos > 0 AND NOT ke
             RENDERED, STRUCTURE, BOTH, measures("corpora"),
             final=f"SELECT id, {DOC} AS doc_score FROM ({BOTH_STRUCTURE})"),
         "security_findings": with_ctes(
-            RENDERED, BOTH, found("corpora"), final="SELECT id, severity, text, line FROM found"),
+            RENDERED, STRUCTURE, BOTH, found("corpora"), final="SELECT id, severity, text, line FROM found"),
         "security_score": with_ctes(
-            RENDERED, BOTH, found("corpora"),
+            RENDERED, STRUCTURE, BOTH, found("corpora"),
             final="""SELECT id, greatest(0, 100 - coalesce(cost, 0))::DOUBLE / 100 AS security_score,
   coalesce(n, 0) AS security_finding_count, coalesce(high, 0) AS security_high_count
 FROM corpora LEFT JOIN per_row USING (id)"""),
         "max_severity": with_ctes(
-            RENDERED, BOTH, found("corpora"),
+            RENDERED, STRUCTURE, BOTH, found("corpora"),
             final="""SELECT id, CASE worst WHEN 3 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 1 THEN 'LOW' ELSE 'NONE' END
   AS security_severity FROM corpora LEFT JOIN per_row USING (id)"""),
         "judge_sample": with_ctes(

@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+ALIASED = ('from os import system as run_cmd\nimport subprocess as sp\n# never call eval(x) here\n'
+           'run_cmd("ls")\nsp.run("ls", shell=1)\n')
+
+
 def _times(line: str, n: Column) -> Column:
     return F.repeat(F.lit(line), n.cast("int"))
 
@@ -34,6 +38,8 @@ def rendered_corpus(documents: DataFrame) -> DataFrame:
         F.repeat(F.concat(F.lit("x = "), number, F.lit("\n")), (k % 13).cast("int")),
         _if(k % 17 == 0, 'eval("1")\n'),
         _if(k % 4 == 1, 'password = "hunter2x"\n'),
+        # Calls behind import aliases, and a call that only a comment names.
+        _if(k % 19 == 0, ALIASED),
         _if(k % 11 == 0, "def broken(:\n"),
     )
     return documents.select(

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.config import Settings
-from corpusq.functions import scores, security
+from corpusq.functions import analysis, scores, security
+from corpusq.session import ship_package
 
 # What a missing column counts as. A null in a present column stays null.
 DEFAULTS = {
@@ -39,9 +40,26 @@ def add_doc_score(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_score", scores.documentation(*[col_or_default(df, n) for n in names]))
 
 
+def _findings(df: DataFrame, content_col: str) -> Column:
+    """Findings of each text: from its syntax tree where it is Python that parses, else by lines.
+
+    Python rows (``language`` = python) go through one parse (functions/analysis.py); a text
+    that does not parse falls back to the line rules, and one whose parse ran out of time gets
+    null, which scores as unknown. Rows without a ``language`` column are scanned by lines.
+    """
+    text = F.col(content_col)
+    if "language" not in df.columns:
+        return security.findings(text)
+    ship_package(df.sparkSession)
+    tree = analysis.tree_findings(F.when(F.col("language") == "python", text))
+    return (F.when(tree["state"] == analysis.TREE, tree["findings"])
+            .when(tree["state"] == analysis.FAILED, F.lit(None))
+            .otherwise(security.findings(text)))
+
+
 def add_security(df: DataFrame, content_col: str = "content") -> DataFrame:
     """Findings, their counts and the security score, all within the row."""
-    scanned = df.withColumn("_found", security.findings(F.col(content_col)))
+    scanned = df.withColumn("_found", _findings(df, content_col))
     found = F.col("_found")
     listed = F.coalesce(found, F.array().cast(scanned.schema["_found"].dataType))
     return scanned.withColumns(
@@ -57,7 +75,7 @@ def add_security(df: DataFrame, content_col: str = "content") -> DataFrame:
 def security_findings(df: DataFrame, id_col: str = "id", content_col: str = "content") -> DataFrame:
     """One row (id, severity, text, line) per finding."""
     # The plain form would derive a not-empty filter and scan every text twice.
-    hits = df.select(id_col, F.inline_outer(security.findings(F.col(content_col))))
+    hits = df.select(id_col, F.inline_outer(_findings(df, content_col)))
     return hits.filter("severity is not null")
 
 

@@ -15,6 +15,11 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
 # Queries whose last plan runs one of the two Arrow functions; no other may start Python
 # workers. What a query writes on its way is checked where it is built.
 ARROW = {"python_structure", "structure_non_python", "syntactic_score", "doc_score", "minhash_bands"}
+# Queries that score security: Python rows are analysed on their syntax tree, once per row
+# (at most a step per corpus of a union).
+ANALYSED = {"composite_no_judge", "composite_with_judge", "max_severity", "rows_above", "run_summary",
+            "score_distribution", "score_histogram", "score_stage", "security_findings", "security_score",
+            "threshold_flag"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups")
 
 
@@ -47,7 +52,9 @@ def test_query(spark, duck, name):
     plan = plan_of(df)
     assert not [operator for operator in FORBIDDEN if operator in plan]
     steps = [line for line in plan.splitlines() if line.startswith("(") and "ArrowEvalPython" in line]
-    assert len(steps) == (1 if name in ARROW else 0)
+    tree = [line for line in plan.splitlines() if line.startswith("Arguments: [tree_findings(")]
+    assert len(steps) - len(tree) == (1 if name in ARROW else 0)
+    assert bool(tree) == (name in ANALYSED) and len(tree) <= 2
 
 
 def test_entry(spark):

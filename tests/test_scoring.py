@@ -138,3 +138,40 @@ def test_settings_are_checked():
         Settings(weights={"syntactic": Decimal(1)})
     with pytest.raises(ValueError):
         Settings(minhash_threshold=1.5)
+
+
+def test_tree_analysis_resolves_aliases_and_ignores_comments(spark):
+    from corpusq.functions import analysis
+
+    code = [
+        "# never call eval(x) here\nx = 1\n",
+        'def f():\n    """exec(code) would run it"""\n    return 1\n',
+        'from os import system\nsystem("ls")\n',
+        "from pickle import loads\nloads(b)\n",
+        "import subprocess as s\ns.run(c, shell=1)\n",
+        'print("os.system(x)")\n',
+        "import hashlib as h\nh.md5(b)\nh.sha1(b, usedforsecurity=False)\n",
+        "def broken(:\n    eval(x)\n",
+    ]
+    rows = spark.createDataFrame([(i, c, "python") for i, c in enumerate(code)], "id bigint, content string, language string")
+    got = {r.id: [(f.severity, f.text, f.line) for f in r.security_findings]
+           for r in scoring.add_security(rows).collect()}
+    assert got[0] == [] and got[1] == [] and got[5] == []
+    assert got[2] == [("HIGH", "command line handed to a shell", 2)]
+    assert got[3] == [("MEDIUM", "deserialising untrusted data", 2)]
+    assert got[4] == [("HIGH", "process started through a shell", 2)]
+    assert got[6] == [("HIGH", "weak hash function", 2)]
+    assert got[7] == [("MEDIUM", "eval runs text as code", 2)]  # does not parse: the line rules
+    # Other languages are scanned by lines, as before.
+    prose = spark.createDataFrame([(0, "# never call eval(x) here", "text")], "id bigint, content string, language string")
+    assert scoring.add_security(prose).first().security_finding_count == 1
+
+
+def test_tree_analysis_ends_a_slow_row_not_the_task(monkeypatch):
+    from corpusq.functions import analysis
+
+    monkeypatch.setattr(analysis, "PARSE_SECONDS", 0.01)
+    slow = "x = [" + ", ".join(f"({i}, {i} + {i})" for i in range(300_000)) + "]\n"
+    assert analysis.analyse(slow) == {"state": analysis.FAILED, "findings": None}
+    monkeypatch.setattr(analysis, "PARSE_SECONDS", 10)
+    assert analysis.analyse("eval(1)")["state"] == analysis.TREE
