@@ -128,7 +128,7 @@ def transform_stage(spark: SparkSession, folders: Folders, settings: Settings,
     spec = spec or registry.lookup(settings.source)
     raw = layers.read_raw(spark, folders.raw, spec, settings.language)
     cleaned = transform_rows(raw, spec.name, settings.language, settings, counts).drop("date")
-    layers.write_cleaned(cleaned, folders.processed)
+    layers.write_cleaned(cleaned, folders.processed, part=(spec.name, settings.language))
     return layers.read_cleaned(spark, folders.processed, spec)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -51,17 +52,48 @@ def known_extras(spec: SourceSpec | None = None) -> dict[str, T.DataType]:
     return {name: kind for s in specs for name, kind in s.extras.items()}
 
 
-def write_cleaned(df: DataFrame, path: str, balance: bool = False) -> None:
+MANIFEST = "_schemas"  # Spark's readers skip folders whose names begin with an underscore
+
+
+def write_cleaned(df: DataFrame, path: str, balance: bool = False, part: tuple[str, str] | None = None) -> None:
+    """Write the rows; with ``part`` (source, language), also that part's schema to the
+    layer's manifest, replacing what an earlier run wrote for it."""
     write_partitioned(df, path, CLEANED_KEYS, balance)
+    if part is not None:
+        source, language = part
+        columns = T.StructType([f for f in df.schema if f.name not in CLEANED_KEYS])
+        entry = df.sparkSession.createDataFrame([(columns.json(),)], "value string")
+        entry.coalesce(1).write.mode("overwrite").text(f"{path}/{MANIFEST}/source={source}/language={language}")
+
+
+def manifest_columns(spark: SparkSession, path: str) -> list[T.StructField]:
+    """Columns the manifest names for any part of the layer, first mention first; one small
+    file per source and language is read, no data file is opened."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return []
+    found: dict[str, T.StructField] = {}
+    for row in spark.read.text(f"{path}/{MANIFEST}/*/*").select("value").collect():
+        for f in T.StructType.fromJson(json.loads(row.value)):
+            found.setdefault(f.name, f)
+    return list(found.values())
 
 
 def read_cleaned(spark: SparkSession, path: str, spec: SourceSpec | None = None) -> DataFrame:
     """Every cleaned file, columns united by name. A missing or empty folder raises.
 
-    The layer's schema is known, so no file is opened to find it, and directory keys stay
-    text; ``spec`` adds the extras of a source that is not registered.
+    The layer's schema is known, so no data file is opened to find it, and directory keys
+    stay text: the common columns, the extras of registered sources and of ``spec``, and
+    every column the layer's manifest names for one of its parts (a source scored with
+    others keeps its own extras), null in rows of parts that lack them.
     """
     schema = cleaned_schema(known_extras(spec))
+    have = set(schema.names)
+    extra = [f for f in manifest_columns(spark, path) if f.name not in have]
+    if extra:
+        keys = [f for f in schema if f.name in CLEANED_KEYS]
+        schema = T.StructType([f for f in schema if f.name not in CLEANED_KEYS] + extra + keys)
     df = spark.read.schema(schema).parquet(path)
     if not df.inputFiles():
         raise ValueError(f"no cleaned files in {path}")

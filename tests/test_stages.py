@@ -163,3 +163,23 @@ def test_near_path_moves_no_text_that_fails(spark):
         assert {r.id for r in df.collect()} <= {"r0", "r2"}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_sources_with_other_extras_keep_them_in_one_scored_table(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    folders = stages.Folders(f"{tmp_path}/source", f"{tmp_path}/data")
+    made = {"mine": ("stars", T.LongType(), 7), "yours": ("license", T.StringType(), "mit")}
+    for name, (extra, kind, value) in made.items():
+        body = [(BODY + f"y = {i}\n", value) for i in range(3)]
+        spark.createDataFrame(body, f"content string, {extra} {kind.simpleString()}").coalesce(1).write.parquet(
+            f"{folders.source}/{name}")
+        spec = SourceSpec(name, "content", name, extras={extra: kind})
+        settings = Settings(source=name)
+        for stage in ("ingest", "transform"):
+            stages.run(spark, folders, settings, stage, None, TS, spec)
+    scored = stages.run(spark, folders, Settings(source="mine"), "score", None, TS,
+                        SourceSpec("mine", "content", "mine", extras={"stars": T.LongType()}))
+    rows = scored.collect()
+    assert {"stars", "license"} <= set(scored.columns)
+    assert {(r.source, r.stars, r.license) for r in rows} == {("mine", 7, None), ("yours", None, "mit")}
