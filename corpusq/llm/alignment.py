@@ -11,8 +11,9 @@ The work inside a task is columnar, on Arrow arrays of a whole batch:
 * byte lengths come from a table per vocabulary, and a segmented cumulative sum (the running
   total less the total at the start of its text) gives every token's end offset;
 * an Acero hash join on (text, end offset) keys finds the ends both share;
-* a search among the shared ends gives every token its group, and the links of a group are
-  formed by repetition, without Python loops over tokens;
+* a search among the shared ends gives every token its group; distinct ids are counted per
+  group and joined on the group (Acero again), so a pair's occurrences in a text are the
+  product of its ids' counts, and a long group costs its distinct ids, not its tokens squared;
 * ``Table.group_by`` folds links into (text, A id, B id, occurrences) and then into partial
   counts (A id, B id, texts of the batch); Spark sums the partial counts of all batches, finds
   each A id's highest count and joins the counts back to the links of each text.
@@ -110,16 +111,44 @@ def _ends(ids: pa.ListArray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return parent, flat, total - before[parent]
 
 
-def _groups_text(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids."""
-    a_cut = np.flatnonzero(np.diff(ga)) + 1
-    b_cut = np.flatnonzero(np.diff(gb)) + 1
-    a_parts = [",".join(map(str, x)) for x in np.split(a, a_cut)]
-    b_parts = [",".join(map(str, x)) for x in np.split(b, b_cut)]
-    return ";".join(f"{x}|{y}" for x, y in zip(a_parts, b_parts))
+SEPARATORS = pa.array([",", "|", ";", ""])  # fixed values: within a side, A to B, group to group, end
+
+
+def _groups_texts(n: int, pa_: np.ndarray, ida: np.ndarray, ga: np.ndarray,
+                  pb_: np.ndarray, idb: np.ndarray, gb: np.ndarray) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` of every text, built with Arrow kernels: all ids of the batch in
+    order (group, A before B, place), each followed by its separator, joined per text."""
+    group = np.concatenate([ga, gb])
+    side = np.concatenate([np.zeros(len(ga), np.int8), np.ones(len(gb), np.int8)])
+    order = np.lexsort((np.arange(len(group)), side, group))
+    ids = np.concatenate([ida, idb])[order]
+    group, side = group[order], side[order]
+    text = np.concatenate([pa_, pb_])[order]
+    last = np.ones(len(ids), bool)
+    last[:-1] = text[1:] != text[:-1]
+    code = np.where(last, 3, np.where(np.append(group[1:] != group[:-1], True), 2,
+                                      np.where(np.append(side[1:] != side[:-1], True), 1, 0)))
+    separators = pa.DictionaryArray.from_arrays(pa.array(code.astype(np.int8)), SEPARATORS).cast(pa.string())
+    pieces = pc.binary_join_element_wise(pc.cast(pa.array(ids), pa.string()), separators, "")
+    offsets = np.searchsorted(text, np.arange(n + 1)).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pieces), "").to_pylist()
 
 
 def align_batch(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBatch:
+    """``align_slice`` over slices of at most ``SLICE_BYTES`` of text (or one text), so that a
+    worker holds the encodings of a few thousand tokens at a time, whatever Spark hands it."""
+    sizes = pc.binary_length(pc.fill_null(batch.column("text"), "")).to_numpy(zero_copy_only=False)
+    out, start, total = [], 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if total and total + size > SLICE_BYTES:
+            out.append(align_slice(batch.slice(start, i - start), a_path, b_path))
+            start, total = i, 0
+        total += size
+    out.append(align_slice(batch.slice(start), a_path, b_path))
+    return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+
+
+def align_slice(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBatch:
     """One row per text with its counts and links, then one row per partial pair count."""
     a_model, a_pieces, a_len = _a_model(a_path)
     b_model, b_pieces, b_len = _b_model(b_path)
@@ -147,37 +176,34 @@ def align_batch(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBat
     cuts = np.sort(shared.column("row").to_numpy() * scale + shared.column("end").to_numpy())
     ga = np.searchsorted(cuts, pa_ * scale + enda)
     gb = np.searchsorted(cuts, pb_ * scale + endb)
-    # Links: each A token repeated once per B token of its group.
-    b_first = np.searchsorted(gb, np.arange(len(cuts)))
-    b_count = np.bincount(gb, minlength=len(cuts))
-    times = b_count[ga]
-    a_at = np.repeat(np.arange(len(ida)), times)
-    within = np.arange(len(a_at)) - np.repeat(np.cumsum(times) - times, times)
-    b_at = b_first[ga[a_at]] + within
-    links = pa.table({"row": pa_[a_at], "a": ida[a_at].astype(np.int32), "b": idb[b_at].astype(np.int32)})
-    per_text = links.group_by(["row", "a", "b"]).aggregate([([], "count_all")]).sort_by("row")
-    partial = per_text.group_by(["a", "b"]).aggregate([([], "count_all")])
+    # Links without forming them one by one: per group, each distinct A id meets each distinct
+    # B id (an Acero hash join on the group), as often as their counts multiply. A long group
+    # costs its distinct ids, not its tokens squared.
+    a_counts = pa.table({"g": ga, "a": ida.astype(np.int32)}).group_by(["g", "a"]).aggregate([([], "count_all")])
+    b_counts = pa.table({"g": gb, "b": idb.astype(np.int32)}).group_by(["g", "b"]).aggregate([([], "count_all")])
+    met = a_counts.rename_columns(["g", "a", "ca"]).join(b_counts.rename_columns(["g", "b", "cb"]), keys="g")
+    text_of_group = (cuts // scale).astype(np.int64)
+    links = pa.table({
+        "row": text_of_group[met.column("g").to_numpy()], "a": met.column("a"), "b": met.column("b"),
+        "n": pc.multiply(met.column("ca"), met.column("cb"))})
+    per_text = links.group_by(["row", "a", "b"]).aggregate([("n", "sum")]).rename_columns(
+        ["row", "a", "b", "count_all"]).sort_by("row")
+    partial = per_text.group_by(["a", "b"]).aggregate([([], "count_all")])  # texts of the batch
     # Per text: counts, links as a list, and the digest of its groups.
     n_a = np.bincount(pa_, minlength=n)
     n_b = np.bincount(pb_, minlength=n)
     group_row = cuts // scale
     n_groups = np.bincount(group_row.astype(np.int64), minlength=n)
-    n_links = np.bincount(pa_[a_at], minlength=n) if len(a_at) else np.zeros(n, np.int64)
+    per_group = np.bincount(ga, minlength=len(cuts)) * np.bincount(gb, minlength=len(cuts))
+    n_links = np.bincount(text_of_group, weights=per_group, minlength=n).astype(np.int64)
     link_rows = per_text.column("row").to_numpy()
     link_offsets = np.searchsorted(link_rows, np.arange(n + 1))
     link_values = pa.StructArray.from_arrays(
         [per_text.column("a").combine_chunks(), per_text.column("b").combine_chunks(),
          per_text.column("count_all").combine_chunks()], fields=list(LINK))
     link_lists = pa.ListArray.from_arrays(pa.array(link_offsets, pa.int32()), link_values)
-    a_off = np.searchsorted(pa_, np.arange(n + 1))
-    b_off = np.searchsorted(pb_, np.arange(n + 1))
-    digests = []
-    for i in range(n):
-        if n_a[i]:
-            s, e, u, v = a_off[i], a_off[i + 1], b_off[i], b_off[i + 1]
-            digests.append(hashlib.sha256(_groups_text(ida[s:e], ga[s:e], idb[u:v], gb[u:v]).encode()).hexdigest())
-        else:
-            digests.append("")
+    texts_of_groups = _groups_texts(n, pa_, ida, ga, pb_, idb, gb)
+    digests = [hashlib.sha256(t.encode()).hexdigest() if n_a[i] else "" for i, t in enumerate(texts_of_groups)]
     m = partial.num_rows
     nulls = lambda kind, k: pa.nulls(k, kind)
     texts_part = pa.RecordBatch.from_arrays([
@@ -192,6 +218,9 @@ def align_batch(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBat
     return pa.Table.from_batches([texts_part, counts_part]).combine_chunks().to_batches()[0]
 
 
+SLICE_BYTES = 1 << 20
+
+
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
