@@ -324,6 +324,17 @@ def _links(blocked: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.select(*keys, "block", "node", "n", "hashes").mapInArrow(run, "u long, v long")
 
 
+def verified_components(docs: DataFrame, clusters: DataFrame, words: int, percent: int, id_is_text: bool = False) -> DataFrame:
+    """(node, component) of every node that links with another of its cluster, by full sets.
+
+    ``clusters`` (node, cluster) names texts by doc_id. Every pair of a cluster's nodes whose
+    sizes allow a link is multiplied, so no link inside a cluster is lost."""
+    sets = written(_sets(docs, written(clusters, "clusters"), words), "sets")
+    if id_is_text and not sets.groupBy("node").count().filter("count > 1").isEmpty():
+        sets = written(sets.dropDuplicates(["node"]), "sets")
+    return components(_links(_blocked(sets, percent), percent), "links")
+
+
 def near_duplicates(docs: DataFrame, words: int, percent: int, id_is_text: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text). With
     ``id_is_text`` rows of one id have one text, and any number of them is multiplied once."""
@@ -335,10 +346,7 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, id_is_text: bool
     classes = written(classes, "classes")
     clusters = components(_candidates(classes.filter("node is not null"), percent), "clusters").select(
         "node", F.col("component").alias("cluster"))
-    sets = written(_sets(docs, written(clusters, "clusters"), words), "sets")
-    if id_is_text and not sets.groupBy("node").count().filter("count > 1").isEmpty():
-        sets = written(sets.dropDuplicates(["node"]), "sets")
-    found = components(_links(_blocked(sets, percent), percent), "links")
+    found = verified_components(docs, clusters, words, percent, id_is_text)
     named = classes.select("digest", "node").join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
     full, empty = rows.filter("n > 0"), rows.filter("n = 0")

@@ -9,18 +9,21 @@ some table exactly when they agree on some half-key of each collection, so with
 J the chance is (1 - (1 - J^ROWS)^BANDS)^2: 0.9987 at J = 0.85, 0.99996 at J = 0.9 for the
 defaults.
 
-Candidates are verified, never trusted: within a bucket the first open nodes lead (1, 2, 4,
-... up to ``MOST_LEADERS`` in successive rounds), every open member is compared with each
-leader on the full sets (100 |A and B| >= percent |A or B|), and leaders and members that
-pass close; the rest stay open and meet the next leaders. A round ships a few narrow pairs
-per open member, never all pairs of a bucket, and buckets whose members all closed leave the
-loop. Links found form
-components by alternating stars.
+Candidates are verified, never trusted: nodes that meet in a bucket and whose sizes allow a
+link belong to one cluster, and every pair of a cluster's nodes is compared on the full sets
+(100 |A and B| >= percent |A or B|) by the blocked products of ``jaccard``; no pair is waived
+because one of the two has linked with a third. Links found form components by alternating
+stars.
+
+The first pass over the texts (numpy on Arrow batches) leaves a set's size, a 128-bit digest
+and its 2 x BANDS half-keys; Spark forms the BANDS^2 keys of each class from them. Buckets
+are narrow (key, size, node) rows, of which neighbours by size become edges: a bucket costs
+one edge per member, never its pairs. Full sets are read again for clustered classes only.
 
 Sets are the distinct ``words``-word shingles of a text, A-Z lower-cased, words being runs of
-anything but ASCII white space, each shingle as a 64-bit hash; a text with fewer words has its
-whole sequence as one shingle. Equal sets are one class (node), identified by a SHA-256 digest
-of the sorted set, and compared once.
+anything but ASCII white space, each shingle as a 63-bit hash; a text with fewer words has its
+whole sequence as one shingle. Equal sets are one class, identified by the digest of the
+sorted set and compared once; its node is the least 64-bit hash of a row's id and text.
 
 Defined cases: null and empty texts (no words) have no shingles, link with nothing and are
 components of their own (component_id = doc_id). Repeated rows and exact copies share a
@@ -32,135 +35,110 @@ ignored.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusq.llm.common import WORD_GAP, let
+from corpusq.llm.batches import map_batches
+from corpusq.llm.common import let
 from corpusq.llm.graph import components
+from corpusq.llm.jaccard import verified_components
+from corpusq.llm.shingles import ShingleSets, mixed
 from corpusq.session import Scratch, written
 
 WORDS, PERCENT = 5, 85
 ROWS, BANDS = 4, 10
-MOST_LEADERS = 64
 SEEDS = 2 * BANDS * ROWS
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+AT_ONCE = 1 << 16  # shingles minhashed at once, so that they stay in the cache
+GOLDEN = 0x9E3779B97F4A7C15  # fixed value: 2^64 over the golden ratio, odd
+
+
+def minhashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """SEEDS minhashes of each set ``hashes[bounds[i]:bounds[i + 1]]``; no set may be empty."""
+    k = np.arange(1, SEEDS + 1, dtype=np.uint64)
+    factor, offset = mixed(k * np.uint64(GOLDEN)) | np.uint64(1), mixed(k * np.uint64(GOLDEN) + np.uint64(1))
+    out = np.empty((len(bounds) - 1, SEEDS), np.uint64)
+    row = 0
+    while row < len(out):
+        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + AT_ONCE, "right")) - 1)
+        x = hashes[bounds[row]:bounds[end]].astype(np.uint64)
+        starts = bounds[row:end] - bounds[row]
+        for seed in range(SEEDS):
+            out[row:end, seed] = np.minimum.reduceat((x ^ offset[seed]) * factor[seed], starts)
+        row = end
+    return out
+
 
+def half_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """2 x BANDS half-keys of each set: hashes of ROWS minhashes each."""
+    of_half = minhashes(hashes, bounds).reshape(-1, 2 * BANDS, ROWS)
+    place = np.arange(1, ROWS + 1, dtype=np.uint64) * np.uint64(GOLDEN)
+    return mixed(mixed(of_half + place).sum(axis=2, dtype=np.uint64)).view(np.int64)
 
-def shingle_set(text: Column, words: int = WORDS) -> Column:
-    """The sorted distinct 64-bit hashes of a text's shingles; empty for a null or wordless text.
 
-    The word list is bound once (``let``): referred to inside the lambda over places, it would
-    otherwise be split again for every shingle.
-    """
-    def of_words(w: Column) -> Column:
-        n = F.size(w)
-        many = F.transform(F.sequence(F.lit(0), n - words),
-                           lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, words), " ")))
-        return F.array_sort(F.array_distinct(
-            F.when(n >= words, many).when(n > 0, F.array(F.xxhash64(F.array_join(w, " "))))
-            .otherwise(F.array().cast("array<bigint>"))))
+def table_keys(half: Column) -> Column:
+    """BANDS^2 bucket keys: each a hash of one half-key of each collection and the table's place."""
+    def of_halves(h: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(BANDS * BANDS - 1)), lambda t: F.xxhash64(
+            F.get(h, F.floor(t / BANDS).cast("int")), F.get(h, BANDS + t % BANDS), t))
 
-    return let(F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), WORD_GAP), ""), of_words)
+    return let(half, of_halves)
 
 
-def _minhash(shingles: Column, seed: int) -> Column:
-    # A one-argument lambda: with two, Spark would pass the element's place as the second.
-    return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(seed))))
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, key, n, digest, halves) of every row; digest and halves null without a word."""
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = ShingleSets(batch.column("text"), words)
+            n = sets.sizes
+            full = np.flatnonzero(n)
+            halves = half_keys(sets.hashes, np.concatenate([sets.bounds[full], sets.bounds[-1:]])) if len(full) else np.zeros((0, 0))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(halves.reshape(-1).astype(np.int64)), 2 * BANDS)
+            at = np.zeros(len(n), np.int64)
+            at[full] = np.arange(len(full))
+            return pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("key"), pa.array(n),
+                pa.array([xxhash.xxh3_128_digest(sets.of(i).tobytes()) if n[i] else None for i in range(len(n))], pa.binary()),
+                lists.cast(pa.list_(pa.int64())).take(pa.array(at, mask=n == 0))],
+                names=["doc_id", "key", "n", "digest", "halves"])
 
+        return step
 
-def _minhashes(shingles: Column) -> list[Column]:
-    return [_minhash(shingles, seed) for seed in range(SEEDS)]
+    kind = dict(docs.dtypes)["doc_id"]
+    return map_batches(docs, make, f"doc_id {kind}, key long, n long, digest binary, halves array<long>")
 
 
-def table_keys(shingles: Column) -> Column:
-    """BANDS^2 bucket keys: each a hash of one half-key of each collection and the table's place.
+def _meetings(classes: DataFrame, percent: int) -> DataFrame:
+    """Edges (u, v) that tie the members of each bucket, neighbours by size.
 
-    Minhashes and half-keys are bound once a row (``let``), so no minhash is computed twice.
-    """
-    def of_halves(half: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(BANDS * BANDS - 1)), lambda t: F.xxhash64(
-            F.get(half, F.floor(t / BANDS).cast("int")), F.get(half, BANDS + t % BANDS), t))
-
-    def of_minhashes(h: Column) -> Column:
-        halves = F.transform(F.sequence(F.lit(0), F.lit(2 * BANDS - 1)),
-                             lambda b: F.xxhash64(F.slice(h, b * ROWS + 1, ROWS)))
-        return let(halves, of_halves)
-
-    return let(F.array(*_minhashes(shingles)), of_minhashes)
-
-
-def _linked(a: Column, b: Column, percent: int) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
-
-
-def _verified_links(members: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(u, v) links between nodes that share a bucket and pass the full-set test.
-
-    Round r leads each bucket by its ``min(2^r, MOST_LEADERS)`` first open members (first by a
-    hash of node and key, so a member that a poor leader of one bucket leaves behind meets
-    other leaders in its other buckets). Every open member is compared with each leader,
-    leaders among themselves too; leaders and members that pass close, the rest meet again.
-    The top leaders per bucket are found by a window limited to its first rows, which Spark
-    cuts per partition before the shuffle, so no bucket is sorted or gathered whole.
-    """
-    sets = classes.select("node", "shingles")
-    opened = members
-    found, leaders = [], 1
-    while True:
-        first = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
-        lead = (opened.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= leaders)
-                .select("key", F.col("node").alias("leader")))
-        lead = scratch.written(lead)
-        met = opened.join(lead, "key").filter("node != leader")
-        pairs = scratch.written(met.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v"))
-                                .distinct())
-        if pairs.isEmpty():
-            break
-        checked = scratch.written(
-            pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("mine")), "u")
-            .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("theirs")), "v")
-            .select("u", "v", _linked(F.col("mine"), F.col("theirs"), percent).alias("ok")))
-        passed = checked.filter("ok").select("u", "v")
-        found.append(passed)
-        # Closed: the leaders, and members linked to a leader of their bucket.
-        linked = passed.select(F.col("u").alias("node"), F.col("v").alias("leader")).union(
-            passed.select(F.col("v").alias("node"), F.col("u").alias("leader")))
-        closed = (met.join(linked, ["node", "leader"]).select("key", "node")
-                  .union(lead.select("key", F.col("leader").alias("node"))).distinct()
-                  .withColumn("closed", F.lit(True)))
-        opened = scratch.written(opened.join(closed, ["key", "node"], "left").filter("closed is null").select("key", "node"))
-        leaders = min(2 * leaders, MOST_LEADERS)
-    if not found:
-        return classes.sparkSession.createDataFrame([], "u binary, v binary")
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out
+    Between two neighbours whose sizes forbid a link the bucket falls apart: whoever is on
+    one side has a size that forbids a link with anyone on the other."""
+    entries = classes.select("node", "n", F.explode(table_keys(F.col("halves"))).alias("key"))
+    by_size = Window.partitionBy("key").orderBy("n", "node")
+    tied = entries.select(F.col("node").alias("u"), "n", F.lag("node").over(by_size).alias("v"), F.lag("n").over(by_size).alias("n_v"))
+    return tied.filter(F.col("v").isNotNull() & (100 * F.col("n_v") >= percent * F.col("n"))).select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "minhash-dedup")
-    rows = scratch.written(docs.select("doc_id", shingle_set(F.col("text"), words).alias("shingles"))
-                           .withColumn("node", F.when(F.size("shingles") > 0, F.unhex(F.sha2(
-                               F.array_join(F.col("shingles").cast("array<string>"), ","), 256)))))
-    classes = scratch.written(rows.filter("node is not null").select("node", "shingles").dropDuplicates(["node"]))
-    keyed = classes.select("node", F.explode(table_keys(F.col("shingles"))).alias("key"))
-    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = scratch.written(keyed.join(crowded, "key"))
-    joined = scratch.written(components(_verified_links(members, classes, percent, scratch), "minhash-components"))
-    # The least id of each class, of each component, and so each class's component_id.
-    least_of_node = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    placed = least_of_node.join(joined, "node", "left").select(
-        "node", "least", F.coalesce("component", "node").alias("component"))
+    scratch = Scratch(docs.sparkSession, "minhash-dedup")
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    rows = scratch.written(_sketches(keyed, words))
+    classes = scratch.written(rows.filter("n > 0").groupBy("digest").agg(
+        F.min("key").alias("node"), F.first("n").alias("n"), F.first("halves").alias("halves"), F.min("doc_id").alias("least")))
+    clusters = components(_meetings(classes, percent), "minhash-clusters").select("node", F.col("component").alias("cluster"))
+    found = verified_components(keyed.select(F.col("key").alias("doc_id"), "text"), clusters, words, percent, id_is_text=True)
+    # The least id of each component, and so each class's component_id.
+    placed = scratch.written(classes.select("digest", "node", "least").join(found, "node", "left").select(
+        "digest", "least", F.coalesce("component", "node").alias("component")))
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.join(least, "component").select("node", "component_id")
-    out = (rows.join(named, "node", "left")
-           .select("doc_id", F.size("shingles").cast("long").alias("n_shingles"),
-                   F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    named = placed.join(least, "component").select("digest", "component_id")
+    out = rows.select("doc_id", "n", "digest").join(named, "digest", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     out = written(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))),
                   "minhash-dedup-result")
     scratch.remove()

@@ -10,7 +10,7 @@ import xxhash
 from corpusq.llm.batches import coded_words, filled
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     """Every input bit spread over the output."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -33,8 +33,8 @@ class ShingleSets:
         h = hashed[self.codes]
         total = np.zeros(len(h), np.uint64)
         for k in range(min(words, len(h))):
-            total[:len(h) - k] += _mixed(h[k:] + np.uint64(k * 0x51ED27 + 1))
-        total = (_mixed(total) >> np.uint64(1)).astype(np.int64)
+            total[:len(h) - k] += mixed(h[k:] + np.uint64(k * 0x51ED27 + 1))
+        total = (mixed(total) >> np.uint64(1)).astype(np.int64)
         self.lengths = np.diff(starts)
         sets, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         sizes = np.zeros(len(self.lengths), np.int64)
@@ -44,7 +44,7 @@ class ShingleSets:
                 own, at = np.unique(total[start:start + n - words + 1], return_index=True)
             elif n:
                 place = np.arange(n, dtype=np.uint64) * np.uint64(0x51ED27) + np.uint64(n << 40)
-                whole = _mixed(np.array([_mixed(h[start:start + n] + place).sum(dtype=np.uint64)]))
+                whole = mixed(np.array([mixed(h[start:start + n] + place).sum(dtype=np.uint64)]))
                 own, at = (whole >> np.uint64(1)).astype(np.int64), np.zeros(1, np.int64)
             else:
                 continue

@@ -153,6 +153,23 @@ def test_minhash_dedup_on_table_and_empty(spark):
     assert minhash_dedup.near_duplicates(empty).count() == 0
 
 
+def test_minhash_dedup_keeps_links_of_nodes_that_linked_with_others(spark):
+    """One text links with every other; crowds of its versions share its buckets and do not link with the rest."""
+    hub = [f"h{i}" for i in range(204)]
+    rows = [(1000, " ".join(hub))]
+    rows += [(2000 + i, " ".join(hub + [f"c{i}x{k}" for k in range(5)])) for i in range(300)]
+    for j in range(10):
+        w = list(hub)
+        for k in range(3):
+            w[6 + 6 * (3 * j + k)] = f"b{j}x{k}"
+        rows.append((3000 + j, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in minhash_dedup.near_duplicates(df).select(
+        "doc_id", "n_shingles", "component_id", "kept").collect()), key=repr)
+    assert got == components_by_hand(rows)
+    assert {r[2] for r in got} == {1000}
+
+
 # ---- op13: filter audit ---------------------------------------------------------------------
 
 def test_shapley_by_least_squares_equals_average_over_orders():
