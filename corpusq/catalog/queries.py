@@ -46,6 +46,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(context.defaultParallelism, key) if context.master.startswith("local[") else df
 
 
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` sorted for writing, rows of equal keys in the order they are read: Spark deals
+    ranges of the keys to tasks, and part files are named in the order of their ranges."""
+    read = F.monotonically_increasing_id()
+    return df.withColumn("_read", read).orderBy(*keys, "_read").drop("_read")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -340,7 +347,7 @@ def _two_days(spark: SparkSession, sf: str, near: bool) -> DataFrame:
         folders = stages.Folders(f"{base}/source-{day}", f"{base}/data")
         changed = F.concat("content", F.lit("\nchanged since"))
         rows = docs.withColumn("content", F.when((F.col("doc_id") % 2 == 1) & F.lit(day == 1), changed).otherwise(F.col("content")))
-        rows.coalesce(1).sortWithinPartitions("doc_id").write.parquet(f"{folders.source}/shards")
+        in_order(rows, "doc_id").write.parquet(f"{folders.source}/shards")
         stages.ingest_stage(spark, folders, settings, RUN_TS + timedelta(days=day), spec)
     cleaned_rows = stages.transform_stage(spark, stages.Folders("", f"{base}/data"), settings, spec)
     return cleaned_rows.select("id", "doc_id", "content_hash", "num_lines")
@@ -372,7 +379,7 @@ def full_run(spark: SparkSession, sf: str) -> DataFrame:
     base = fresh_path(spark, "run")
     code = rendered_records(spark, sf).select(F.lit("rendered").alias("part"), "id", "content")
     prose = documents(spark, sf).select(F.lit("written").alias("part"), F.format_string("%06d", "id").alias("id"), "content")
-    code.unionByName(prose).coalesce(1).sortWithinPartitions("part", "id").write.parquet(f"{base}/source/shards")
+    in_order(code.unionByName(prose), "part", "id").write.parquet(f"{base}/source/shards")
     spec = SourceSpec("rendered", "content", "shards", None, {"size": _long})
     settings = Settings(source="rendered", language="python")
     folders = stages.Folders(f"{base}/source", f"{base}/data")

@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 from glob import glob
 
 import pytest
-from conftest import plan_of
+from conftest import SMALL, plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,3 +145,36 @@ def test_normalise_overwrites_source(spark):
     df = spark.createDataFrame([(1, "old")], "id int, source string")
     assert registry.normalise_schema(df, "new").first().source == "new"
     assert registry.normalise_schema(df.drop("source"), "new").first().source == "new"
+
+
+def test_sorted_shards_are_ranges_and_keep_positions(spark, tmp_path):
+    """No task writes the whole table; positions follow the keys, then the order read."""
+    from corpusq.catalog.queries import in_order
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.createDataFrame([((i * 7919) % 1000 // 2, f"t{i}") for i in range(1000)], "doc_id long, content string")
+        expected = [r.content for r in sorted(rows.collect(), key=lambda r: r.doc_id)]
+        in_order(rows, "doc_id").write.parquet(f"{tmp_path}/shards")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scan = spark.read.parquet(f"{tmp_path}/shards")
+    assert len(scan.inputFiles()) > 4
+    placed = registry.with_position(scan).orderBy("position").collect()
+    assert [r.position for r in placed] == list(range(1000))
+    assert [r.content for r in placed] == expected
+
+
+@pytest.mark.parametrize("name", ["two_days", "full_run"])
+def test_queries_deal_their_source_shards_to_several_tasks(spark, tmp_path, monkeypatch, name):
+    from corpusq.catalog import queries
+
+    monkeypatch.setattr(queries, "fresh_path", lambda session, folder: f"{tmp_path}/{folder}")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        getattr(queries, name)(spark, SMALL)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for folder in glob(f"{tmp_path}/*/source*/shards"):
+        assert len(glob(f"{folder}/*.parquet")) > 4
+    assert glob(f"{tmp_path}/*/source*/shards")
