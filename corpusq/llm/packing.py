@@ -27,14 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusq.llm.batches import filled, map_batches
+from corpusq.llm.batches import filled, map_slices
 from corpusq.session import written
 
 SEQUENCE = 2048
 END_ID = 0
 GROUP_PIECES = 100_000
 REMEMBERED = 500_000
-AT_ONCE = 50_000  # parts handed to the tokenizer at once
+AT_ONCE = 5_000  # parts handed to the tokenizer at once
 
 
 def _byte_letters() -> dict[int, str]:
@@ -151,7 +151,7 @@ def cut(df: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, with_ids:
 
     kind = dict(df.dtypes)["doc_id"]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return map_batches(df.select("doc_id", "text"), make, schema)
+    return map_slices(df.select("doc_id", "text"), make, schema)
 
 
 class OpenSequences:
