@@ -5,6 +5,13 @@ that puts its own space in front (B). Both then cover the same bytes. Offsets wh
 of A and a token of B both end cut the text into groups; every A token of a group links with
 every B token of it. How many documents hold an id pair linked is counted corpus-wide.
 
+Texts are cut before lone spaces (white space on neither side), where a token of A and one of
+B always end: A's splitting never reaches from a character to a space after it, and no piece
+of B holds its space mark after another character (checked against the vocabulary at hand).
+What lies between is aligned once and remembered per worker, up to ``REMEMBERED`` parts;
+groups of a text are those of its parts in order, and its links their sum. A text with U+2581,
+NUL or a part whose bytes do not come back is aligned whole.
+
 The work inside a task is columnar, on Arrow arrays of a whole batch:
 
 * the id lists of all texts are flattened, with parent indices telling each token's text;
@@ -28,8 +35,10 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +47,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusq.llm.batches import map_batches
+from corpusq.llm.batches import filled, map_slices
+from corpusq.llm.token_counts import stable_vocabulary
 from corpusq.session import written
 
 LINK = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
@@ -68,6 +78,8 @@ def _byte_level_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def _a_model(path: str):
+    # Spark's tasks share out the cores; threads inside one only add to the CPU time.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
@@ -101,6 +113,18 @@ def _b_model(path: str):
     return model, pieces, np.array([len(p) for p in pieces], np.int64)
 
 
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]).astype(np.int32)
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _byte_sizes(ids: pa.ListArray, lengths: np.ndarray) -> np.ndarray:
+    """Bytes that the tokens of each text spell."""
+    total = np.concatenate([[0], np.cumsum(lengths[ids.flatten().to_numpy()])])
+    return np.diff(total[ids.offsets.to_numpy()])
+
+
 def _ends(ids: pa.ListArray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(parent, id, end): each token's text, id and end offset by a segmented cumulative sum."""
     flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -134,44 +158,31 @@ def _groups_texts(n: int, pa_: np.ndarray, ida: np.ndarray, ga: np.ndarray,
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pieces), "").to_pylist()
 
 
-def align_batch(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBatch:
-    """``align_slice`` over slices of at most ``SLICE_BYTES`` of text (or one text), so that a
-    worker holds the encodings of a few thousand tokens at a time, whatever Spark hands it."""
-    sizes = pc.binary_length(pc.fill_null(batch.column("text"), "")).to_numpy(zero_copy_only=False)
-    out, start, total = [], 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if total and total + size > SLICE_BYTES:
-            out.append(align_slice(batch.slice(start, i - start), a_path, b_path))
-            start, total = i, 0
-        total += size
-    out.append(align_slice(batch.slice(start), a_path, b_path))
-    return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-
-
-def align_slice(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBatch:
-    """One row per text with its counts and links, then one row per partial pair count."""
+def _aligned(texts: list[str], a_path: str, b_path: str) -> dict:
+    """Counts, groups string and links (sorted by text) of each text; ``good`` tells which keep tokens."""
     a_model, a_pieces, a_len = _a_model(a_path)
     b_model, b_pieces, b_len = _b_model(b_path)
-    rows = batch.column("row").to_numpy(zero_copy_only=False)
-    doc_ids = batch.column("doc_id")
-    texts = batch.column("text").to_pylist()
     n = len(texts)
-    plain = [t if t else "" for t in texts]
-    a_ids = [e.ids for e in a_model.encode_batch([" " + t for t in plain], add_special_tokens=False)]
-    b_ids = b_model.encode(plain)
-    good = np.zeros(n, bool)
-    for i, t in enumerate(plain):
-        if t:
-            want = (" " + t).encode("utf-8")
-            good[i] = (b"".join(a_pieces[x] for x in a_ids[i]) == want
-                       and b"".join(b_pieces[x] for x in b_ids[i]) == want)
-    # Left-out texts keep no tokens: everything below sees empty lists for them.
-    a_lists = pa.array([x if g else [] for x, g in zip(a_ids, good)], pa.list_(pa.int32()))
-    b_lists = pa.array([x if g else [] for x, g in zip(b_ids, good)], pa.list_(pa.int32()))
+    a_ids = [e.ids for e in a_model.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    b_ids = b_model.encode(texts, num_threads=1) if n else []
+    a_lists, b_lists = _lists(a_ids), _lists(b_ids)
+    wants = [(" " + t).encode("utf-8") if t else b"" for t in texts]
+    good = np.fromiter(map(bool, texts), bool, n)
+    sizes = np.fromiter(map(len, wants), np.int64, n)
+    joined = b"".join(wants)
+    # All at once: if sizes and joined bytes agree, so do the bytes of each text.
+    if not all(np.array_equal(_byte_sizes(lists, length), sizes) and
+               b"".join([pieces[i] for i in lists.flatten().to_numpy().tolist()]) == joined
+               for lists, pieces, length in ((a_lists, a_pieces, a_len), (b_lists, b_pieces, b_len))):
+        for i in np.flatnonzero(good).tolist():
+            good[i] = (b"".join([a_pieces[x] for x in a_ids[i]]) == wants[i]
+                       and b"".join([b_pieces[x] for x in b_ids[i]]) == wants[i])
+    if not good.all():  # left-out texts keep no tokens: everything below sees empty lists for them
+        a_lists, b_lists = (_lists([x if g else [] for x, g in zip(ids, good)]) for ids in (a_ids, b_ids))
     pa_, ida, enda = _ends(a_lists, a_len)
     pb_, idb, endb = _ends(b_lists, b_len)
     shared = pa.table({"row": pa_, "end": enda}).join(
-        pa.table({"row": pb_, "end": endb}), keys=["row", "end"], join_type="inner")
+        pa.table({"row": pb_, "end": endb}), keys=["row", "end"], join_type="inner", use_threads=False)
     scale = np.int64(1) << 40  # offsets of one text stay far below 2^40
     cuts = np.sort(shared.column("row").to_numpy() * scale + shared.column("end").to_numpy())
     ga = np.searchsorted(cuts, pa_ * scale + enda)
@@ -179,46 +190,146 @@ def align_slice(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBat
     # Links without forming them one by one: per group, each distinct A id meets each distinct
     # B id (an Acero hash join on the group), as often as their counts multiply. A long group
     # costs its distinct ids, not its tokens squared.
-    a_counts = pa.table({"g": ga, "a": ida.astype(np.int32)}).group_by(["g", "a"]).aggregate([([], "count_all")])
-    b_counts = pa.table({"g": gb, "b": idb.astype(np.int32)}).group_by(["g", "b"]).aggregate([([], "count_all")])
-    met = a_counts.rename_columns(["g", "a", "ca"]).join(b_counts.rename_columns(["g", "b", "cb"]), keys="g")
+    a_counts = pa.table({"g": ga, "a": ida.astype(np.int32)}).group_by(["g", "a"], use_threads=False).aggregate([([], "count_all")])
+    b_counts = pa.table({"g": gb, "b": idb.astype(np.int32)}).group_by(["g", "b"], use_threads=False).aggregate([([], "count_all")])
+    met = a_counts.rename_columns(["g", "a", "ca"]).join(b_counts.rename_columns(["g", "b", "cb"]), keys="g", use_threads=False)
     text_of_group = (cuts // scale).astype(np.int64)
     links = pa.table({
         "row": text_of_group[met.column("g").to_numpy()], "a": met.column("a"), "b": met.column("b"),
         "n": pc.multiply(met.column("ca"), met.column("cb"))})
-    per_text = links.group_by(["row", "a", "b"]).aggregate([("n", "sum")]).rename_columns(
-        ["row", "a", "b", "count_all"]).sort_by("row")
-    partial = per_text.group_by(["a", "b"]).aggregate([([], "count_all")])  # texts of the batch
-    # Per text: counts, links as a list, and the digest of its groups.
-    n_a = np.bincount(pa_, minlength=n)
-    n_b = np.bincount(pb_, minlength=n)
-    group_row = cuts // scale
-    n_groups = np.bincount(group_row.astype(np.int64), minlength=n)
+    per_text = links.group_by(["row", "a", "b"], use_threads=False).aggregate([("n", "sum")]).sort_by("row")
     per_group = np.bincount(ga, minlength=len(cuts)) * np.bincount(gb, minlength=len(cuts))
-    n_links = np.bincount(text_of_group, weights=per_group, minlength=n).astype(np.int64)
-    link_rows = per_text.column("row").to_numpy()
-    link_offsets = np.searchsorted(link_rows, np.arange(n + 1))
-    link_values = pa.StructArray.from_arrays(
-        [per_text.column("a").combine_chunks(), per_text.column("b").combine_chunks(),
-         per_text.column("count_all").combine_chunks()], fields=list(LINK))
-    link_lists = pa.ListArray.from_arrays(pa.array(link_offsets, pa.int32()), link_values)
-    texts_of_groups = _groups_texts(n, pa_, ida, ga, pb_, idb, gb)
-    digests = [hashlib.sha256(t.encode()).hexdigest() if n_a[i] else "" for i, t in enumerate(texts_of_groups)]
-    m = partial.num_rows
+    return {
+        "good": good, "n_a": np.bincount(pa_, minlength=n), "n_b": np.bincount(pb_, minlength=n),
+        "n_groups": np.bincount(text_of_group, minlength=n),
+        "n_links": np.bincount(text_of_group, weights=per_group, minlength=n).astype(np.int64),
+        "groups": _groups_texts(n, pa_, ida, ga, pb_, idb, gb),
+        "row": per_text.column("row").to_numpy(), "a": per_text.column("a").to_numpy().astype(np.int64),
+        "b": per_text.column("b").to_numpy().astype(np.int64), "n": per_text.column("n_sum").to_numpy()}
+
+
+class Segments:
+    """Alignments of the parts between lone spaces, remembered per worker.
+
+    A part is remembered as (n_a, n_b, n_groups, n_links, groups, links), or None where its
+    bytes do not come back. The memory only saves work."""
+
+    def __init__(self, a_path: str, b_path: str):
+        self.paths, self.stable = (a_path, b_path), stable_vocabulary(b_path)
+        self.known: dict[str, tuple | None] = {}
+
+    def _resolve(self, parts: list[str]) -> list[tuple | None]:
+        known = self.known
+        missing = [p for p in parts if p not in known]
+        own: dict[str, tuple | None] = {}
+        if missing:
+            found = _aligned(missing, *self.paths)
+            bounds = np.searchsorted(found["row"], np.arange(len(missing) + 1)).tolist()
+            links = np.stack([found["a"], found["b"], found["n"]], axis=1)
+            counts = zip(*(found[k].tolist() for k in ("n_a", "n_b", "n_groups", "n_links")), found["groups"])
+            for i, (part, good, of_part) in enumerate(zip(missing, found["good"].tolist(), counts)):
+                own[part] = (*of_part, links[bounds[i]:bounds[i + 1]].tobytes()) if good else None
+        each = [own[p] if p in own else known[p] for p in parts]
+        if len(known) + len(own) > REMEMBERED:
+            known.clear()
+        known.update(islice(((p, v) for p, v in own.items() if len(p) <= LONGEST), REMEMBERED))
+        return each
+
+    def aligned(self, texts: pa.Array) -> dict:
+        """As ``_aligned``, for texts of which ``whole`` tells which have to be taken whole."""
+        n = len(texts)
+        whole = pc.match_substring_regex(texts, f"[\x00{SPACE_MARK}]").to_numpy(zero_copy_only=False) | (not self.stable)
+        odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
+        plain = pc.replace_substring(texts, " ", "\x00")
+        if odd.any():
+            plain = pa.array([LONE_SPACE.sub("\x00", t) if o else p for t, o, p in
+                              zip(texts.to_pylist(), odd.tolist(), plain.to_pylist())], pa.string())
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False) | whole
+        lists = pc.split_pattern(pc.if_else(pa.array(empty), pa.scalar(None, pa.string()), plain), "\x00")
+        coded = lists.flatten().dictionary_encode()
+        each = self._resolve(coded.dictionary.to_pylist())
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        # A text with a part whose bytes do not come back is taken whole.
+        whole[row[np.array([v is None for v in each], bool)[code]]] = True
+        on = ~whole[row]
+        row, code = row[on], code[on]
+        each = [v or NO_TOKENS for v in each]
+        columns = {}
+        for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links")):
+            of_part = np.fromiter((v[k] for v in each), np.int64, len(each))
+            columns[name] = np.bincount(row, weights=of_part[code], minlength=n).astype(np.int64)
+        strings = pa.array([v[4] for v in each], pa.string()).take(pa.array(code))
+        offsets = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+        columns["groups"] = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), strings), ";").to_pylist()
+        # Links of each text's distinct parts, as often as the part occurs in it.
+        size = np.fromiter((len(v[5]) // 24 for v in each), np.int64, len(each))
+        pool = np.frombuffer(b"".join([v[5] for v in each]), np.int64).reshape(-1, 3)
+        start = np.cumsum(size) - size
+        pair, times = np.unique(row * max(1, len(each)) + code, return_counts=True)
+        row, code = pair // max(1, len(each)), pair % max(1, len(each))
+        length = size[code]
+        ends = np.cumsum(length)
+        at = np.repeat(start[code] - (ends - length), length) + np.arange(int(length.sum()))
+        key = (np.repeat(row, length) << 40) + (pool[at, 0] << 20) + pool[at, 1]  # ids stay below 2^20
+        link, inverse = np.unique(key, return_inverse=True)
+        n_link = np.bincount(inverse, weights=pool[at, 2] * np.repeat(times, length), minlength=len(link)).astype(np.int64)
+        return columns | {"whole": whole, "row": link >> 40, "a": (link >> 20) & 0xFFFFF, "b": link & 0xFFFFF, "n": n_link}
+
+
+@lru_cache(maxsize=2)
+def _segments(a_path: str, b_path: str) -> Segments:
+    return Segments(a_path, b_path)
+
+
+def _as_batch(rows: pa.Array, doc_ids: pa.Array, found: dict) -> pa.RecordBatch:
+    """One row per text with its counts and links, then one row per partial pair count."""
+    n = len(rows)
+    offsets = np.searchsorted(found["row"], np.arange(n + 1))
+    values = pa.StructArray.from_arrays(
+        [pa.array(found["a"], pa.int32()), pa.array(found["b"], pa.int32()), pa.array(found["n"], pa.int64())], fields=list(LINK))
+    digests = [hashlib.sha256(t.encode()).hexdigest() if k else "" for t, k in zip(found["groups"], found["n_a"].tolist())]
+    pairs, texts = np.unique((found["a"] << 20) + found["b"], return_counts=True)
+    m = len(pairs)
     nulls = lambda kind, k: pa.nulls(k, kind)
     texts_part = pa.RecordBatch.from_arrays([
-        pa.array(rows, pa.int64()), doc_ids.cast(pa.int64()), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
-        pa.array(n_groups, pa.int64()), pa.array(n_links, pa.int64()), pa.array(digests, pa.string()), link_lists,
+        rows.cast(pa.int64()), doc_ids.cast(pa.int64()), *(pa.array(found[k], pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")),
+        pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values),
         nulls(pa.int32(), n), nulls(pa.int32(), n), nulls(pa.int64(), n)], names=_NAMES)
     counts_part = pa.RecordBatch.from_arrays([
         nulls(pa.int64(), m), nulls(pa.int64(), m), *(nulls(pa.int64(), m) for _ in range(4)), nulls(pa.string(), m),
-        nulls(pa.list_(LINK), m), partial.column("a").combine_chunks().cast(pa.int32()),
-        partial.column("b").combine_chunks().cast(pa.int32()), partial.column("count_all").combine_chunks()],
-        names=_NAMES)
+        nulls(pa.list_(LINK), m), pa.array(pairs >> 20, pa.int32()), pa.array(pairs & 0xFFFFF, pa.int32()),
+        pa.array(texts, pa.int64())], names=_NAMES)
     return pa.Table.from_batches([texts_part, counts_part]).combine_chunks().to_batches()[0]
 
 
+def align_slice(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBatch:
+    """Texts by their remembered parts; those that cannot be cut, whole."""
+    texts = filled(batch.column("text"))
+    found = _segments(a_path, b_path).aligned(texts)
+    out = []
+    for whole in (False, True):
+        at = np.flatnonzero(found["whole"] == whole)
+        if not len(at):
+            continue
+        rows, ids = batch.column("row").take(pa.array(at)), batch.column("doc_id").take(pa.array(at))
+        if whole:
+            out.append(_as_batch(rows, ids, _aligned(texts.take(pa.array(at)).to_pylist(), a_path, b_path)))
+        else:
+            of = {k: found[k][at] for k in ("n_a", "n_b", "n_groups", "n_links")}
+            of |= {"groups": [found["groups"][i] for i in at.tolist()], "row": np.searchsorted(at, found["row"])}
+            out.append(_as_batch(rows, ids, of | {k: found[k] for k in "abn"}))
+    return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+
+
 SLICE_BYTES = 1 << 20
+REMEMBERED = 300_000
+LONGEST = 64  # characters of a part that is remembered
+NO_TOKENS = (0, 0, 0, 0, "", b"")
+# A lone space between characters that are not white space; Arrow's pattern finds texts with others.
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_WHITE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
+ODD_SPACE = rf"(^|[{_WHITE}]) | ([{_WHITE}]|$)"
 
 
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -229,9 +340,9 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
 
     def make():
-        return lambda batch: align_batch(batch, a_path, b_path)
+        return lambda batch: align_slice(batch, a_path, b_path)
 
-    both = written(map_batches(numbered, make, SCHEMA), "alignment")
+    both = written(map_slices(numbered, make, SCHEMA, SLICE_BYTES), "alignment")
     texts = both.filter("pa is null")
     counts = (both.filter("pa is not null").groupBy("pa", "pb").agg(F.sum("pn").alias("count"))
               .select(F.col("pa").alias("a"), F.col("pb").alias("b"), "count",

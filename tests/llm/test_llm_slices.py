@@ -1,4 +1,6 @@
 """What a Python worker holds is bounded, and remembered parts give what whole texts give."""
+import random
+
 import public_tokenizers
 import pyarrow as pa
 
@@ -35,3 +37,33 @@ def test_packing_meets_large_batches_in_slices(monkeypatch):
     out = packing.cut(Rows(), public_tokenizers.path("word_bpe_49k.json"))
     assert {i for b in out for i in b.column("doc_id").to_pylist()} == set(range(30))
     assert max(met) <= 1 << 21
+
+
+def test_parts_give_what_whole_texts_give():
+    from corpusq.llm import alignment
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(5)
+    pieces = ["the", "Straße", "<|endoftext|>", "<s>", "\n", " ", "  ", "東京", "　", "\x85", "\x1c", "\x00", "▁", "\t", "it's", "12"]
+    texts = ["", " "] + ["".join(rng.choice(pieces + [" "] * 9) for _ in range(rng.randint(1, 40))) for _ in range(500)]
+    segments = alignment.Segments(*paths)
+    for _ in range(2):  # the second time from memory
+        cut, whole = segments.aligned(pa.array(texts)), alignment._aligned(texts, *paths)
+        at = [i for i in range(len(texts)) if not cut["whole"][i]]
+        assert len(at) > 100
+        links = lambda x, i: sorted((a, b, n) for r, a, b, n in zip(*(x[k].tolist() for k in ("row", "a", "b", "n"))) if r == i)
+        for i in at:
+            assert [cut[k][i] for k in ("n_a", "n_b", "n_groups", "n_links", "groups")] == [
+                whole[k][i] for k in ("n_a", "n_b", "n_groups", "n_links", "groups")]
+            assert links(cut, i) == links(whole, i)
+
+
+def test_a_repeated_part_is_aligned_once(monkeypatch):
+    from corpusq.llm import alignment
+
+    met, aligned = [], alignment._aligned
+    monkeypatch.setattr(alignment, "_aligned", lambda texts, *p: (met.extend(texts), aligned(texts, *p))[1])
+    segments = alignment.Segments(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    for _ in range(3):
+        segments.aligned(pa.array(["some words and some words", "and words"]))
+    assert sorted(met) == ["and", "some", "words"]
