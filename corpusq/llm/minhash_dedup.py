@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusq.llm.batches import map_batches
+from corpusq.llm.batches import map_slices
 from corpusq.llm.common import let
 from corpusq.llm.graph import components
 from corpusq.llm.jaccard import verified_components
@@ -108,7 +108,7 @@ def _sketches(docs: DataFrame, words: int) -> DataFrame:
         return step
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs, make, f"doc_id {kind}, key long, n long, digest binary, halves array<long>")
+    return map_slices(docs, make, f"doc_id {kind}, key long, n long, digest binary, halves array<long>")
 
 
 def _meetings(classes: DataFrame, percent: int) -> DataFrame:

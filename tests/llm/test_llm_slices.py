@@ -1,6 +1,7 @@
 """What a Python worker holds is bounded, and remembered parts give what whole texts give."""
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
@@ -67,3 +68,13 @@ def test_a_repeated_part_is_aligned_once(monkeypatch):
     for _ in range(3):
         segments.aligned(pa.array(["some words and some words", "and words"]))
     assert sorted(met) == ["and", "some", "words"]
+
+
+def test_counts_of_shingles_are_bounded(monkeypatch):
+    from corpusq.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "HELD", 4)
+    seen, n = jaccard._most(np.arange(10), np.array([1, 5, 2, 9, 1, 7, 3, 1, 8, 2]))
+    assert (seen.tolist(), n.tolist()) == ([1, 3, 5, 8], [5, 9, 7, 8])
+    seen, n = jaccard._most(np.arange(3), np.array([1, 2, 1]))
+    assert (seen.tolist(), n.tolist()) == ([1], [2])
