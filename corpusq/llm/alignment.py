@@ -8,9 +8,10 @@ every B token of it. How many documents hold an id pair linked is counted corpus
 Texts are cut before lone spaces (white space on neither side), where a token of A and one of
 B always end: A's splitting never reaches from a character to a space after it, and no piece
 of B holds its space mark after another character (checked against the vocabulary at hand).
-What lies between is aligned once and remembered per worker, up to ``REMEMBERED`` parts;
-groups of a text are those of its parts in order, and its links their sum. A text with U+2581,
-NUL or a part whose bytes do not come back is aligned whole.
+What lies between is aligned once and remembered per worker, up to ``REMEMBERED`` parts, in one
+Arrow table with a row a part (when it is full, the parts of the slice at hand stay); groups of
+a text are those of its parts in order, and its links their sum. A text with U+2581, NUL or a
+part whose bytes do not come back is aligned whole.
 
 The work inside a task is columnar, on Arrow arrays of a whole batch:
 
@@ -38,7 +39,7 @@ import hashlib
 import os
 import re
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ from corpusq.llm.token_counts import stable_vocabulary
 from corpusq.session import written
 
 LINK = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
+COUNTS = ("n_a", "n_b", "n_groups", "n_links")
+PART = pa.schema([("good", pa.bool_()), *((k, pa.int64()) for k in COUNTS), ("groups", pa.string()), ("links", pa.list_(LINK))])
 SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
           "links array<struct<a:int,b:int,n:long>>, pa int, pb int, pn long")
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
@@ -113,16 +116,45 @@ def _b_model(path: str):
     return model, pieces, np.array([len(p) for p in pieces], np.int64)
 
 
+@lru_cache(maxsize=2)
+def _spellings(a_path: str, b_path: str) -> tuple[pa.Array, pa.Array]:
+    """The bytes of every id of A and of B."""
+    return pa.array(_a_model(a_path)[1], pa.binary()), pa.array(_b_model(b_path)[1], pa.binary())
+
+
 def _lists(ids: list[list[int]]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]).astype(np.int32)
     flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def _byte_sizes(ids: pa.ListArray, lengths: np.ndarray) -> np.ndarray:
-    """Bytes that the tokens of each text spell."""
-    total = np.concatenate([[0], np.cumsum(lengths[ids.flatten().to_numpy()])])
-    return np.diff(total[ids.offsets.to_numpy()])
+def _a_encoded(texts: list[str], wants: pa.Array, model, lengths: np.ndarray) -> pa.ListArray:
+    """A's ids of " " + each text, whose bytes are ``wants``.
+
+    Texts with white space at neither end are encoded in one go, each after a lone space, where
+    a token always ends, and told apart by their bytes: most texts here are single words, and
+    to the library a text costs more than a word. The fast encoding leaves out the offsets of
+    tokens, which byte lengths give here."""
+    edged = np.fromiter((not t or t[0].isspace() or t[-1].isspace() for t in texts), bool, len(texts))
+    order = np.argsort(edged, kind="stable")
+    some, other = ([texts[i] for i in part.tolist()] for part in np.split(order, [int((~edged).sum())]))
+    lists = _lists([e.ids for e in model.encode_batch_fast([" " + t for t in other], add_special_tokens=False)])
+    if some:
+        flat = np.array(model.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.concatenate([[0], np.cumsum(lengths[flat])])
+        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(wants).to_numpy()[order[:len(some)]])])
+        offsets = np.searchsorted(ends, bounds)
+        if ends[-1] == bounds[-1] and np.array_equal(ends[offsets], bounds):
+            first = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+        else:
+            first = _lists([e.ids for e in model.encode_batch_fast([" " + t for t in some], add_special_tokens=False)])
+        lists = pa.concat_arrays([first, lists])
+    return lists.take(pa.array(np.argsort(order))) if other and some else lists
+
+
+def _spelled(ids: pa.ListArray, spelling: pa.Array) -> pa.Array:
+    """The bytes that the tokens of each text spell."""
+    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelling.take(ids.flatten())), b"")
 
 
 def _ends(ids: pa.ListArray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,12 +171,12 @@ SEPARATORS = pa.array([",", "|", ";", ""])  # fixed values: within a side, A to
 
 
 def _groups_texts(n: int, pa_: np.ndarray, ida: np.ndarray, ga: np.ndarray,
-                  pb_: np.ndarray, idb: np.ndarray, gb: np.ndarray) -> list[str]:
+                  pb_: np.ndarray, idb: np.ndarray, gb: np.ndarray) -> pa.Array:
     """``a1,a2|b1;a3|b2,b3`` of every text, built with Arrow kernels: all ids of the batch in
     order (group, A before B, place), each followed by its separator, joined per text."""
     group = np.concatenate([ga, gb])
     side = np.concatenate([np.zeros(len(ga), np.int8), np.ones(len(gb), np.int8)])
-    order = np.lexsort((np.arange(len(group)), side, group))
+    order = np.argsort(2 * group + side, kind="stable")
     ids = np.concatenate([ida, idb])[order]
     group, side = group[order], side[order]
     text = np.concatenate([pa_, pb_])[order]
@@ -155,30 +187,22 @@ def _groups_texts(n: int, pa_: np.ndarray, ida: np.ndarray, ga: np.ndarray,
     separators = pa.DictionaryArray.from_arrays(pa.array(code.astype(np.int8)), SEPARATORS).cast(pa.string())
     pieces = pc.binary_join_element_wise(pc.cast(pa.array(ids), pa.string()), separators, "")
     offsets = np.searchsorted(text, np.arange(n + 1)).astype(np.int32)
-    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pieces), "").to_pylist()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pieces), "")
 
 
 def _aligned(texts: list[str], a_path: str, b_path: str) -> dict:
     """Counts, groups string and links (sorted by text) of each text; ``good`` tells which keep tokens."""
-    a_model, a_pieces, a_len = _a_model(a_path)
-    b_model, b_pieces, b_len = _b_model(b_path)
+    a_model, _, a_len = _a_model(a_path)
+    b_model, _, b_len = _b_model(b_path)
     n = len(texts)
-    a_ids = [e.ids for e in a_model.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-    b_ids = b_model.encode(texts, num_threads=1) if n else []
-    a_lists, b_lists = _lists(a_ids), _lists(b_ids)
-    wants = [(" " + t).encode("utf-8") if t else b"" for t in texts]
+    wants = pa.array([" " + t for t in texts], pa.string()).cast(pa.binary())
     good = np.fromiter(map(bool, texts), bool, n)
-    sizes = np.fromiter(map(len, wants), np.int64, n)
-    joined = b"".join(wants)
-    # All at once: if sizes and joined bytes agree, so do the bytes of each text.
-    if not all(np.array_equal(_byte_sizes(lists, length), sizes) and
-               b"".join([pieces[i] for i in lists.flatten().to_numpy().tolist()]) == joined
-               for lists, pieces, length in ((a_lists, a_pieces, a_len), (b_lists, b_pieces, b_len))):
-        for i in np.flatnonzero(good).tolist():
-            good[i] = (b"".join([a_pieces[x] for x in a_ids[i]]) == wants[i]
-                       and b"".join([b_pieces[x] for x in b_ids[i]]) == wants[i])
+    a_lists = _a_encoded(texts, wants, a_model, a_len)
+    b_lists = _lists(b_model.encode(texts, num_threads=1) if n else [])
+    for lists, spelling in zip((a_lists, b_lists), _spellings(a_path, b_path)):
+        good &= pc.equal(_spelled(lists, spelling), wants).to_numpy(zero_copy_only=False)
     if not good.all():  # left-out texts keep no tokens: everything below sees empty lists for them
-        a_lists, b_lists = (_lists([x if g else [] for x, g in zip(ids, good)]) for ids in (a_ids, b_ids))
+        a_lists, b_lists = (_lists([x if g else [] for x, g in zip(lists.to_pylist(), good)]) for lists in (a_lists, b_lists))
     pa_, ida, enda = _ends(a_lists, a_len)
     pb_, idb, endb = _ends(b_lists, b_len)
     shared = pa.table({"row": pa_, "end": enda}).join(
@@ -211,29 +235,33 @@ def _aligned(texts: list[str], a_path: str, b_path: str) -> dict:
 class Segments:
     """Alignments of the parts between lone spaces, remembered per worker.
 
-    A part is remembered as (n_a, n_b, n_groups, n_links, groups, links), or None where its
-    bytes do not come back. The memory only saves work."""
+    ``parts`` has a row (see ``PART``) for each part remembered, ``place`` its number. ``good``
+    is false where the bytes of a part do not come back. The memory only saves work."""
 
     def __init__(self, a_path: str, b_path: str):
         self.paths, self.stable = (a_path, b_path), stable_vocabulary(b_path)
-        self.known: dict[str, tuple | None] = {}
-
-    def _resolve(self, parts: list[str]) -> list[tuple | None]:
-        known = self.known
-        missing = [p for p in parts if p not in known]
-        own: dict[str, tuple | None] = {}
-        if missing:
-            found = _aligned(missing, *self.paths)
-            bounds = np.searchsorted(found["row"], np.arange(len(missing) + 1)).tolist()
-            links = np.stack([found["a"], found["b"], found["n"]], axis=1)
-            counts = zip(*(found[k].tolist() for k in ("n_a", "n_b", "n_groups", "n_links")), found["groups"])
-            for i, (part, good, of_part) in enumerate(zip(missing, found["good"].tolist(), counts)):
-                own[part] = (*of_part, links[bounds[i]:bounds[i + 1]].tobytes()) if good else None
-        each = [own[p] if p in own else known[p] for p in parts]
-        if len(known) + len(own) > REMEMBERED:
-            known.clear()
-        known.update(islice(((p, v) for p, v in own.items() if len(p) <= LONGEST), REMEMBERED))
-        return each
+        self.place: dict[str, int] = {}
+        self.parts = PART.empty_table()
+
+    def _resolve(self, parts: list[str]) -> tuple[pa.Table, np.ndarray]:
+        """A table of parts, and in which of its rows each of these (different) parts is."""
+        before = self.parts.num_rows
+        at = np.fromiter((self.place.get(p, -1) for p in parts), np.int64, len(parts))
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return self.parts, at
+        at[missing] = before + np.arange(len(missing))
+        found = _as_parts(_aligned([parts[i] for i in missing.tolist()], *self.paths))
+        table = pa.concat_tables([self.parts, found]).combine_chunks()
+        short = [i for i in missing.tolist() if len(parts[i]) <= LONGEST]
+        if before + len(short) <= REMEMBERED:
+            self.place.update((parts[i], before + k) for k, i in enumerate(short))
+            self.parts = table if len(short) == len(missing) else table.take(np.concatenate([np.arange(before), at[short]]))
+        else:  # full: what this slice holds stays, known parts first
+            held = ([*np.flatnonzero(at < before).tolist(), *short])[:REMEMBERED]
+            self.place = {parts[i]: k for k, i in enumerate(held)}
+            self.parts = table.take(at[held])
+        return table, at
 
     def aligned(self, texts: pa.Array) -> dict:
         """As ``_aligned``, for texts of which ``whole`` tells which have to be taken whole."""
@@ -247,33 +275,32 @@ class Segments:
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False) | whole
         lists = pc.split_pattern(pc.if_else(pa.array(empty), pa.scalar(None, pa.string()), plain), "\x00")
         coded = lists.flatten().dictionary_encode()
-        each = self._resolve(coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        parts, place = self._resolve(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        code = place[coded.indices.to_numpy(zero_copy_only=False)]
         row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
         # A text with a part whose bytes do not come back is taken whole.
-        whole[row[np.array([v is None for v in each], bool)[code]]] = True
+        whole[row[~_column(parts, "good").to_numpy(zero_copy_only=False)[code]]] = True
         on = ~whole[row]
         row, code = row[on], code[on]
-        each = [v or NO_TOKENS for v in each]
         columns = {}
-        for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links")):
-            of_part = np.fromiter((v[k] for v in each), np.int64, len(each))
-            columns[name] = np.bincount(row, weights=of_part[code], minlength=n).astype(np.int64)
-        strings = pa.array([v[4] for v in each], pa.string()).take(pa.array(code))
+        for name in COUNTS:
+            columns[name] = np.bincount(row, weights=_column(parts, name).to_numpy()[code], minlength=n).astype(np.int64)
+        strings = _column(parts, "groups").take(pa.array(code))
         offsets = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
-        columns["groups"] = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), strings), ";").to_pylist()
+        columns["groups"] = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), strings), ";")
         # Links of each text's distinct parts, as often as the part occurs in it.
-        size = np.fromiter((len(v[5]) // 24 for v in each), np.int64, len(each))
-        pool = np.frombuffer(b"".join([v[5] for v in each]), np.int64).reshape(-1, 3)
-        start = np.cumsum(size) - size
-        pair, times = np.unique(row * max(1, len(each)) + code, return_counts=True)
-        row, code = pair // max(1, len(each)), pair % max(1, len(each))
+        links = _column(parts, "links")
+        pool_a, pool_b, pool_n = (x.to_numpy().astype(np.int64) for x in links.flatten().flatten())
+        start = links.offsets.to_numpy().astype(np.int64) - links.offsets[0].as_py()
+        size, start = np.diff(start), start[:-1]
+        pair, times = np.unique(row * max(1, len(size)) + code, return_counts=True)
+        row, code = pair // max(1, len(size)), pair % max(1, len(size))
         length = size[code]
         ends = np.cumsum(length)
         at = np.repeat(start[code] - (ends - length), length) + np.arange(int(length.sum()))
-        key = (np.repeat(row, length) << 40) + (pool[at, 0] << 20) + pool[at, 1]  # ids stay below 2^20
+        key = (np.repeat(row, length) << 40) + (pool_a[at] << 20) + pool_b[at]  # ids stay below 2^20
         link, inverse = np.unique(key, return_inverse=True)
-        n_link = np.bincount(inverse, weights=pool[at, 2] * np.repeat(times, length), minlength=len(link)).astype(np.int64)
+        n_link = np.bincount(inverse, weights=pool_n[at] * np.repeat(times, length), minlength=len(link)).astype(np.int64)
         return columns | {"whole": whole, "row": link >> 40, "a": (link >> 20) & 0xFFFFF, "b": link & 0xFFFFF, "n": n_link}
 
 
@@ -282,19 +309,35 @@ def _segments(a_path: str, b_path: str) -> Segments:
     return Segments(a_path, b_path)
 
 
+def _column(table: pa.Table, name: str) -> pa.Array:
+    """A column in one piece."""
+    column = table.column(name)
+    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+
+
+def _links(found: dict, n: int) -> pa.ListArray:
+    """The links of each of n texts."""
+    offsets = np.searchsorted(found["row"], np.arange(n + 1))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+        [pa.array(found["a"], pa.int32()), pa.array(found["b"], pa.int32()), pa.array(found["n"], pa.int64())], fields=list(LINK)))
+
+
+def _as_parts(found: dict) -> pa.Table:
+    """What ``_aligned`` found, as rows of ``PART``."""
+    n = len(found["good"])
+    return pa.table([pa.array(found["good"]), *(pa.array(found[k], pa.int64()) for k in COUNTS), found["groups"], _links(found, n)], schema=PART)
+
+
 def _as_batch(rows: pa.Array, doc_ids: pa.Array, found: dict) -> pa.RecordBatch:
     """One row per text with its counts and links, then one row per partial pair count."""
     n = len(rows)
-    offsets = np.searchsorted(found["row"], np.arange(n + 1))
-    values = pa.StructArray.from_arrays(
-        [pa.array(found["a"], pa.int32()), pa.array(found["b"], pa.int32()), pa.array(found["n"], pa.int64())], fields=list(LINK))
-    digests = [hashlib.sha256(t.encode()).hexdigest() if k else "" for t, k in zip(found["groups"], found["n_a"].tolist())]
+    digests = [hashlib.sha256(t.encode()).hexdigest() if k else "" for t, k in zip(found["groups"].to_pylist(), found["n_a"].tolist())]
     pairs, texts = np.unique((found["a"] << 20) + found["b"], return_counts=True)
     m = len(pairs)
     nulls = lambda kind, k: pa.nulls(k, kind)
     texts_part = pa.RecordBatch.from_arrays([
-        rows.cast(pa.int64()), doc_ids.cast(pa.int64()), *(pa.array(found[k], pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")),
-        pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values),
+        rows.cast(pa.int64()), doc_ids.cast(pa.int64()), *(pa.array(found[k], pa.int64()) for k in COUNTS),
+        pa.array(digests, pa.string()), _links(found, n),
         nulls(pa.int32(), n), nulls(pa.int32(), n), nulls(pa.int64(), n)], names=_NAMES)
     counts_part = pa.RecordBatch.from_arrays([
         nulls(pa.int64(), m), nulls(pa.int64(), m), *(nulls(pa.int64(), m) for _ in range(4)), nulls(pa.string(), m),
@@ -316,8 +359,8 @@ def align_slice(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBat
         if whole:
             out.append(_as_batch(rows, ids, _aligned(texts.take(pa.array(at)).to_pylist(), a_path, b_path)))
         else:
-            of = {k: found[k][at] for k in ("n_a", "n_b", "n_groups", "n_links")}
-            of |= {"groups": [found["groups"][i] for i in at.tolist()], "row": np.searchsorted(at, found["row"])}
+            of = {k: found[k][at] for k in COUNTS}
+            of |= {"groups": found["groups"].take(pa.array(at)), "row": np.searchsorted(at, found["row"])}
             out.append(_as_batch(rows, ids, of | {k: found[k] for k in "abn"}))
     return pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
@@ -325,7 +368,6 @@ def align_slice(batch: pa.RecordBatch, a_path: str, b_path: str) -> pa.RecordBat
 SLICE_BYTES = 1 << 20
 REMEMBERED = 300_000
 LONGEST = 64  # characters of a part that is remembered
-NO_TOKENS = (0, 0, 0, 0, "", b"")
 # A lone space between characters that are not white space; Arrow's pattern finds texts with others.
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _WHITE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
