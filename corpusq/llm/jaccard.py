@@ -13,7 +13,9 @@ only where its entries can reach the size-derived bound, block by block:
 * What survives falls into clusters. A cluster's rows are sorted by size and cut into row
   blocks; each pair of blocks whose sizes are compatible is multiplied column block by
   column block, with overlap counts accumulating and the product ended once no pair can
-  still reach its bound. Of the links found a block pair reports a spanning forest.
+  still reach its bound. Of the links found a block pair reports a spanning forest. Pairs are
+  taken in rounds, neighbours first, each of which deals every row a bounded number of times;
+  a pair whose rows are connected by then is left out.
 
 No link between different texts is lost, and no step forms all pairs of a group as rows.
 Components of the links follow by alternating stars.
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from corpusq.llm.batches import map_slices, sliced
 from corpusq.llm.graph import components
 from corpusq.llm.shingles import ShingleSets
-from corpusq.session import written
+from corpusq.session import Scratch, written
 
 SHARED = 3
 SHORT_COLUMN = 32
@@ -49,6 +51,8 @@ FREQUENT_SHINGLES, FREQUENT_WORDS = 1 << 17, 1 << 16
 # Shingles or words a task counts at a time while it looks for frequent ones.
 HELD = 1 << 18
 NEEDED_BITS = 1 << 24
+# How often, on average, a row with its set may be dealt to pairs of blocks in one round.
+DEALT = 1.5
 
 
 def needed_overlap(a, b, percent: int):
@@ -116,7 +120,7 @@ def _refined(docs: DataFrame, words: int, percent: int, order: Order) -> Order:
     A passage that some dozens of texts share is frequent in no single task, yet would tie
     all of them together; counting the first columns themselves shows it."""
     first = _first_columns(docs, words, percent, order).select(F.explode("first").alias("column"))
-    long = first.groupBy("column").agg(F.count("*").alias("rows")).filter(F.col("rows") > SHORT_COLUMN // 2)
+    long = written(first.groupBy("column").agg(F.count("*").alias("rows")).filter(F.col("rows") > SHORT_COLUMN // 2), "long-columns")
     return order.with_counts([(r[0], r[1]) for r in long.orderBy(F.desc("rows"), "column").limit(FREQUENT_SHINGLES).collect()])
 
 
@@ -167,11 +171,12 @@ def _first_columns(docs: DataFrame, words: int, percent: int, order: Order) -> D
     return map_slices(docs.select("doc_id", "text"), make, "doc_id long, n long, digest binary, first array<long>")
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Edges (u, v) between classes that may link, directly or as rows of one long column."""
+def _candidates(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Edges (u, v) between classes that may link, directly or as rows of one long column.
+    They read a table of ``scratch``."""
     entries = classes.select("node", "n", F.explode("first").alias("column"))
     columns = entries.groupBy("column").agg(F.count("*").alias("rows"), F.min("node").alias("least")).filter("rows > 1")
-    shared = written(entries.join(columns, "column"), "shared-columns")
+    shared = scratch.written(entries.join(columns, "column"))
     long = shared.filter(F.col("rows") > SHORT_COLUMN)
     in_long = long.groupBy("node").agg(F.count("*").alias("long"))
     side = lambda x: shared.filter(F.col("rows") <= SHORT_COLUMN).select(
@@ -232,8 +237,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return made.filter("n > 0").join(nodes, "node")
 
 
-def _blocked(sets: DataFrame, percent: int) -> DataFrame:
-    """Rows of each cluster dealt to pairs of row blocks: (cluster, i, j, side, node, n, hashes).
+def _blocked(sets: DataFrame) -> DataFrame:
+    """``sets`` with the row block of each: (cluster, block, node, n, hashes).
 
     Blocks are ranges of sizes, found by counting rows by (cluster, size): no cluster has to
     be sorted in one task, and only the counts of its sizes meet. A size with more rows than
@@ -246,15 +251,50 @@ def _blocked(sets: DataFrame, percent: int) -> DataFrame:
     placed = counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
     spread = F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) * F.col("rows") / (1 << 20))
     block = F.floor((F.col("before") + spread) / ROW_BLOCK).cast("int")
-    rows = sets.join(placed, ["cluster", "n"]).select("cluster", "node", "n", "hashes", block.alias("block"))
-    ranges = sets.select("cluster", "n", "node").join(placed, ["cluster", "n"]).groupBy("cluster", block.alias("block")).agg(
-        F.min("n").alias("low"), F.max("n").alias("high"))
-    i, j = (ranges.select("cluster", F.col("block").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ij")
-    pairs = i.join(j, "cluster").filter((F.col("i") <= F.col("j")) & (100 * F.col("high_i") >= percent * F.col("low_j"))).select("cluster", "i", "j")
-    sides = pairs.select("cluster", "i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("block"))
+    return sets.join(placed, ["cluster", "n"]).select("cluster", block.alias("block"), "node", "n", "hashes")
+
+
+def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(cluster, i, j, dealt): pairs of blocks whose sizes allow a link, and the shingles that go there."""
+    ranges = rows.groupBy("cluster", "block").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("entries"))
+    i, j = (ranges.select("cluster", F.col("block").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("low", "high", "entries")))
+            for x in "ij")
+    pairs = i.join(j, "cluster").filter((F.col("i") <= F.col("j")) & (100 * F.col("high_i") >= percent * F.col("low_j")))
+    return pairs.select("cluster", "i", "j", F.when(F.col("i") == F.col("j"), F.col("entries_i")).otherwise(
+        F.col("entries_i") + F.col("entries_j")).alias("dealt"))
+
+
+def _deal(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows dealt to pairs of row blocks: (cluster, i, j, block, node, n, hashes)."""
+    sides = pairs.select("cluster", "i", "j", F.explode(
+        F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("block"))
     return rows.join(sides, ["cluster", "block"])
 
 
+def _rounds(pairs: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of block distances j - i that are dealt at once: a row goes to two pairs of each
+    distance at most, and ranges grow while they deal no more than DEALT times all rows."""
+    of = pairs.groupBy((F.col("j") - F.col("i")).alias("apart")).agg(F.sum("dealt").alias("dealt")).orderBy("apart").collect()
+    rounds, room = [], 0
+    for apart, dealt in of:
+        if not rounds or dealt > room:
+            rounds.append((apart, apart))
+            room = DEALT * of[0][1]
+        rounds[-1] = (rounds[-1][0], apart)
+        room -= dealt
+    return rounds
+
+
+def _open_pairs(pairs: DataFrame, rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``pairs`` less those whose rows all are in one component already: they add no link that matters."""
+    of_block = rows.select("cluster", "block", "node").join(linked, "node", "left").groupBy("cluster", "block").agg(
+        F.when(F.min("component") == F.max("component"), F.when(F.count("component") == F.count("*"), F.min("component"))).alias("all"))
+    side = lambda x: of_block.select("cluster", F.col("block").alias(x), F.col("all").alias(f"all_{x}"))
+    met = pairs.join(side("i"), ["cluster", "i"]).join(side("j"), ["cluster", "j"])
+    return met.filter(~F.coalesce(F.col("all_i") == F.col("all_j"), F.lit(False))).select(*pairs.columns)
+
+
 def link_forest(nodes: np.ndarray, n: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
                 percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between rows ``left`` and ``right`` (places in ``sets``)."""
@@ -305,7 +345,7 @@ def link_forest(nodes: np.ndarray, n: np.ndarray, sets: list[np.ndarray], left:
     return forest
 
 
-def _links(blocked: DataFrame, percent: int) -> DataFrame:
+def _links(dealt: DataFrame, percent: int) -> DataFrame:
     """Forest edges (u, v) of every block pair. A task meets one block pair after the other."""
     keys = ["cluster", "i", "j"]
 
@@ -334,7 +374,7 @@ def _links(blocked: DataFrame, percent: int) -> DataFrame:
         if held:
             yield multiplied()
 
-    sorted_rows = blocked.repartition(*keys).sortWithinPartitions(*keys)
+    sorted_rows = dealt.repartition(*keys).sortWithinPartitions(*keys)
     return sorted_rows.select(*keys, "block", "node", "n", "hashes").mapInArrow(run, "u long, v long")
 
 
@@ -342,11 +382,29 @@ def verified_components(docs: DataFrame, clusters: DataFrame, words: int, percen
     """(node, component) of every node that links with another of its cluster, by full sets.
 
     ``clusters`` (node, cluster) names texts by doc_id. Every pair of a cluster's nodes whose
-    sizes allow a link is multiplied, so no link inside a cluster is lost."""
-    sets = written(_sets(docs, written(clusters, "clusters"), words), "sets")
+    sizes allow a link is multiplied, unless links already found connect all of both blocks, so
+    no link that joins components is lost. Block pairs are taken in rounds, near ones first:
+    what lies on disk at a time is a few times the sets, however large a cluster."""
+    scratch = Scratch(docs.sparkSession, "sets")
+    sets = scratch.written(_sets(docs, scratch.written(clusters), words))
     if id_is_text and not sets.groupBy("node").count().filter("count > 1").isEmpty():
-        sets = written(sets.dropDuplicates(["node"]), "sets")
-    return components(_links(_blocked(sets, percent), percent), "links")
+        sets = scratch.written(sets.dropDuplicates(["node"]))
+        scratch.keep_last()
+    blocks = Scratch(docs.sparkSession, "blocks")
+    rows = blocks.written(_blocked(sets))
+    scratch.remove()
+    pairs = blocks.written(_block_pairs(rows, percent))
+    linked = None
+    for near, far in _rounds(pairs):
+        now = pairs.filter((F.col("j") - F.col("i")).between(near, far))
+        if linked is not None:
+            now = _open_pairs(now, rows, linked)
+        edges = _links(_deal(rows, now), percent)
+        if linked is not None:
+            edges = edges.union(linked.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        linked = components(edges, "links")
+    blocks.remove()
+    return docs.sparkSession.createDataFrame([], "node long, component long") if linked is None else linked
 
 
 def near_duplicates(docs: DataFrame, words: int, percent: int, id_is_text: bool = False) -> DataFrame:
@@ -354,14 +412,19 @@ def near_duplicates(docs: DataFrame, words: int, percent: int, id_is_text: bool
     ``id_is_text`` rows of one id have one text, and any number of them is multiplied once."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = _refined(docs, words, percent, _frequent(docs, words))
-    rows = written(_first_columns(docs, words, percent, order), "first-columns")
-    classes = rows.filter("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("first").alias("first"))
-    classes = written(classes, "classes")
-    clusters = components(_candidates(classes.filter("node is not null"), percent), "clusters").select(
-        "node", F.col("component").alias("cluster"))
+    # Tables with columns go as soon as they are read: what the result reads is narrow.
+    texts, scratch = Scratch(docs.sparkSession, "first-columns"), Scratch(docs.sparkSession, "classes")
+    first = texts.written(_first_columns(docs, words, percent, order))
+    rows = written(first.drop("first"), "rows")
+    classes = scratch.written(first.filter("n > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("first").alias("first")))
+    texts.remove()
+    named = written(classes.select("digest", "node"), "class-names")
+    clusters = written(components(_candidates(classes.filter("node is not null"), percent, scratch), "clusters").select(
+        "node", F.col("component").alias("cluster")), "clusters")
+    scratch.remove()
     found = verified_components(docs, clusters, words, percent, id_is_text)
-    named = classes.select("digest", "node").join(found, "node", "left").select(
+    named = named.join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
     full, empty = rows.filter("n > 0"), rows.filter("n = 0")
     return full.join(named, "digest").select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).union(

@@ -17,6 +17,7 @@ RUNTIME_DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -85,9 +86,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage durably (a lost executor re-reads files instead of re-running
     the plan), gives later joins true sizes, and makes counts a footer read.
     """
+    return _saved(df, fresh_path(df.sparkSession, name))
+
+
+def _saved(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back. The shuffle files of this write go with its end:
+    nothing reads them again, and they would stay until the driver happens to collect its garbage."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -99,10 +113,16 @@ class Scratch:
 
     def written(self, df: DataFrame) -> DataFrame:
         self.count += 1
-        path = f"{self.path}/{self.count}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return _saved(df, f"{self.path}/{self.count}")
+
+    def keep_last(self) -> None:
+        """Remove all tables but the one written last."""
+        for k in range(1, self.count):
+            self._delete(f"{self.path}/{k}")
 
     def remove(self) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
